@@ -21,6 +21,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +32,12 @@ from skeinwork.operators.ranged import partitions
 from skeinwork.scratch import materialize
 
 CHUNKS = 64
-SIGNATURE = 4  # 64-bit words
+SIGNATURE = 6  # 64-bit words
 #: a set in a tile
 ENTRY = np.dtype([("id", "<i8"), ("sig", "<u8", SIGNATURE), ("size", "<i4"), ("index", "?")])
 #: postings of a block of sets: the sets with their number of sequences in the bucket, and these sequences, set by set:
 #: 47 upper bits of each, and a bit that tells whether it belongs to the shorter prefix
-BLOCK_SET = np.dtype([("id", "<i8"), ("sig", "<u8", SIGNATURE), ("size", "<i4"), ("many", "<u2")])
+BLOCK_SET = np.dtype([("id", "<i8"), ("sig", "<u8", SIGNATURE), ("size", "<i4"), ("many", "<u4")])
 BLOCK_KEY = np.dtype([("high", "<u4"), ("low", "<u2")])
 TILE = 8192
 #: word sequences of the corpus to a bucket; a part of them, those of the prefixes, is sent there
@@ -147,16 +148,25 @@ def _pairs_of_tiles(entries: np.ndarray, start: np.ndarray, limit: Limit) -> Ite
         at = stop
 
 
-def _candidates(blocks: DataFrame, limit: Limit, n: int) -> DataFrame:
-    schema = "a long, b long, left binary, right binary"
+def _candidates(blocks: DataFrame, limit: Limit, n: int) -> tuple[DataFrame, DataFrame]:
+    """Identifiers with their classes, and pairs of classes that may agree enough."""
+    names = ["id", "a", "b", "left", "right"]
+    schema = "id string, a long, b long, left binary, right binary"
 
     def batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         none = pa.nulls(a.size, pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), none, none], names=["a", "b", "left", "right"])
+        return pa.RecordBatch.from_arrays([pa.nulls(a.size, pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), none, none], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, keys, of, index, n_sets = [], [], [], [], 0
         for rows in batches:
+            member = rows.column("class").is_valid()
+            of_texts = rows.filter(member)
+            if of_texts.num_rows:
+                many = of_texts.num_rows
+                none = pa.nulls(many, pa.binary())
+                yield pa.RecordBatch.from_arrays([of_texts.column("id"), of_texts.column("class"), pa.nulls(many, pa.int64()), none, none], names=names)
+            rows = rows.filter(pc.invert(member))
             for set_blob, key_blob in zip(rows.column("sets"), rows.column("keys")):
                 s, k = np.frombuffer(set_blob.as_buffer(), BLOCK_SET), np.frombuffer(key_blob.as_buffer(), BLOCK_KEY)
                 sets.append(s)
@@ -191,7 +201,7 @@ def _candidates(blocks: DataFrame, limit: Limit, n: int) -> DataFrame:
             for j, right in enumerate(cuts):
                 for left in cuts[: j + 1]:
                     if limit.near(left["size"][-1:], right["size"][:1])[0]:
-                        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 2 + [pa.array([x.tobytes()], pa.binary()) for x in (left, right)], names=["a", "b", "left", "right"])
+                        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), *[pa.nulls(1, pa.int64())] * 2, *[pa.array([x.tobytes()], pa.binary()) for x in (left, right)]], names=names)
 
     def blocks_of_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -210,8 +220,18 @@ def _candidates(blocks: DataFrame, limit: Limit, n: int) -> DataFrame:
                         yield batch(left["id"][l[fit]], part["id"][r[fit]])
 
     met = materialize(blocks.repartition(n, "bucket").mapInArrow(meet, schema), "tiles")
-    heavy = met.filter("a IS NULL").repartition(n).mapInArrow(blocks_of_heavy, schema)
-    return met.filter("a IS NOT NULL").select("a", "b").unionByName(heavy.select("a", "b")).distinct()
+    heavy = met.filter("left IS NOT NULL").repartition(n).mapInArrow(blocks_of_heavy, schema)
+    pairs = met.filter("b IS NOT NULL").select("a", "b").unionByName(heavy.select("a", "b")).distinct()
+    members = met.filter("id IS NOT NULL").groupBy("id").agg(F.min("a").alias("class"))
+    return materialize(members, "members"), materialize(pairs, "candidates")
+
+
+def _labels(spark: SparkSession, n: int) -> np.ndarray:
+    """Numbers that ``repartition(n, ...)`` sends to ``n`` different partitions, so that buckets don't share one."""
+    tried = spark.range(n * (12 + n.bit_length())).select(F.col("id").cast("int").alias("label"))
+    placed = tried.groupBy(F.pmod(F.hash("label"), F.lit(n)).alias("part")).agg(F.min("label").alias("label"))
+    found = [r["label"] for r in placed.orderBy("part").collect()]
+    return np.array([found[i % len(found)] for i in range(n)], np.int32)
 
 
 @dataclass
@@ -263,6 +283,7 @@ def near_duplicates(
     sketch, total = _sketch(rows, "text", width, min_words, sketch_bits)
     ranks = spark.sparkContext.broadcast(sketch)  # 2 ** sketch_bits bytes
     n = max(6, total // SEQUENCES)
+    labels = _labels(spark, n)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks.value, np.uint8)
@@ -292,7 +313,7 @@ def near_duplicates(
                 key_blobs.append(packed.tobytes())
             many = found.size
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(many, pa.string()), pa.nulls(many, pa.int64()), pa.array(found.astype(np.int32)), pa.array(set_blobs, pa.binary()), pa.array(key_blobs, pa.binary())],
+                [pa.nulls(many, pa.string()), pa.nulls(many, pa.int64()), pa.array(labels[found]), pa.array(set_blobs, pa.binary()), pa.array(key_blobs, pa.binary())],
                 names=names,
             )
 
@@ -302,7 +323,7 @@ def near_duplicates(
                 continue
             ids, size = _class_ids(sets), np.diff(sets.offsets)
             none = pa.nulls(ids.size, pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(sets.rows)).cast(pa.string()), pa.array(ids), pa.nulls(ids.size, pa.int32()), none, none], names=names)
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(sets.rows)).cast(pa.string()), pa.array(ids), pa.array(labels[np.abs(ids % n)]), none, none], names=names)
             owner = np.repeat(np.arange(size.size), size)
             frequency = rank[(sets.values >> np.uint64(64 - sketch_bits)).astype(np.int64)]
             # rare first, then by value: the row number keeps the order of values within a set
@@ -322,10 +343,8 @@ def near_duplicates(
         if held:
             yield blocks()
 
-    posted = materialize(rows.mapInArrow(post, "id string, class long, bucket int, sets binary, keys binary"), "posted", "uncompressed")
-    members = posted.filter("class IS NOT NULL").groupBy("id").agg(F.min("class").alias("class"))
-    members = materialize(members, "members")
-    candidates = materialize(_candidates(posted.filter("class IS NULL").select("bucket", "sets", "keys"), limit, n), "candidates")
+    posted = rows.mapInArrow(post, "id string, class long, bucket int, sets binary, keys binary")
+    members, candidates = _candidates(posted, limit, n)
     links = _verify(rows, members, candidates, limit, width, min_words)
     return NearDuplicates(members.select(F.col("id").cast(docs.schema[identifier].dataType).alias(identifier), "class"), links, identifier)
 
