@@ -9,11 +9,14 @@ from skeinwork.llm.canonical import same_look, unify
 from skeinwork.llm.capping import cap
 from skeinwork.llm.encoding import count_tokens, encode
 from skeinwork.llm.mixing import Mixture, mix
+from skeinwork.llm.joining import attach
 from skeinwork.llm.neardup import NearDuplicates, near_duplicates
+from skeinwork.llm.pii import detect, learn
 from skeinwork.llm.sampling import frozen_sample
 from skeinwork.llm.topn import top_n
 from skeinwork.operators.records import current_rows, norm_name
 from skeinwork.plans.common import REVIEW, table
+from skeinwork.scratch import materialize
 
 RATE = 0.1
 
@@ -61,6 +64,39 @@ def p5_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.join(picks, "source_id").select("source_id", "label_travel", "label_saas_opportunity", "label_app_opportunity", "false_positive_category").distinct()
 
 
+def _personal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """What was found in the records and in the excerpts of the review sample.
+
+    An excerpt is the cut start of a record's text. Whether an item at the cut is there in full shows in the record, so
+    the record's text is searched and items that end within the excerpt count; excerpts of unknown records, or that
+    differ from their record, are searched as they are.
+    """
+    docs = table(spark, sf_dir, "source_documents").select("source_id", "analytical_text")
+    known = learn(docs, "analytical_text")
+    found = materialize(detect(docs, "analytical_text", known, ["source_id"]), "pii")
+    review = table(spark, sf_dir, REVIEW).select("source_id", "text_excerpt").distinct()
+    ids = materialize(review.select("source_id").filter("source_id IS NOT NULL").distinct(), "ids")
+    texts = attach(docs.filter("source_id IS NOT NULL"), ids, ["source_id"], "source_id", ids.count()).dropDuplicates(["source_id"])
+    cut = review.join(texts, "source_id", "left").withColumn("upto", F.length("text_excerpt"))
+    cut = cut.withColumn("whole", F.when(F.col("analytical_text").startswith(F.col("text_excerpt")), F.col("analytical_text")).otherwise(F.col("text_excerpt")))
+    return found, detect(cut, "whole", known, ["source_id", "text_excerpt"], "upto")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, excerpts = _personal(spark, sf_dir)
+    both = records.select(F.lit("source_documents").alias("record_table"), "source_id", F.explode("pii_types").alias("pii_type")).unionByName(
+        excerpts.select(F.lit("review_sample").alias("record_table"), "source_id", F.explode("pii_types").alias("pii_type"))
+    )
+    return both.distinct()
+
+
+def p6_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both texts with placeholders: one row per record, and one per excerpt that differs."""
+    records, excerpts = _personal(spark, sf_dir)
+    both = records.select(F.lit("source_documents").alias("record_table"), "source_id", F.col("redacted").alias("text")).dropDuplicates(["source_id"])
+    return both.unionByName(excerpts.select(F.lit("review_sample").alias("record_table"), "source_id", F.col("redacted").alias("text")).distinct())
+
+
 def _repeats(spark: SparkSession, sf_dir: str) -> NearDuplicates:
     return near_duplicates(table(spark, sf_dir, "source_documents"), "source_id", "analytical_text", agreement=0.6, width=3, min_words=40)
 
@@ -105,6 +141,8 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_scores": p5_scores,
     "p5_review": p5_review,
+    "p6_found": p6_found,
+    "p6_texts": p6_texts,
     "p7_found": p7_found,
     "p7_classes": p7_classes,
     "p8_ids": p8_ids,
