@@ -117,7 +117,7 @@ class Gate:
 def overall(labels: DataFrame, scores: DataFrame, domains: Sequence[str]) -> dict[str, float]:
     """Figures over candidates: positive if any label is, retained if any domain is; leakage is the share of rows with a
     false-positive category that are retained."""
-    any_label = F.greatest(*[F.coalesce(F.col(f"label_{d}"), F.lit("0")) for d in domains]) == "1"
+    any_label = F.greatest(F.lit("0"), *[F.coalesce(F.col(f"label_{d}"), F.lit("0")) for d in domains]) == "1"
     kept = scores.groupBy("source_id").agg(F.bool_or(F.col("decision") == "retain").alias("kept"))
     rows = labels.select("source_id", any_label.alias("positive"), "false_positive_category").join(kept, "source_id")
     trap = F.col("false_positive_category").isNotNull() & (F.col("false_positive_category") != "")
