@@ -29,6 +29,9 @@ ID_CUES = ["ssn", "social security", "passport", "nino", "national insurance", "
 STREETS = ["street", "road", "avenue", "lane", "rue", "calle", "strasse", "straße", "box"]
 TITLES = ["mr", "mrs", "ms", "miss", "dr", "prof", "herr", "frau", "señor", "señora", "sra", "mme"]
 
+# fixed values: abbreviations, after which a sentence goes on
+SHORT = {"no.", "nr.", "mr.", "mrs.", "ms.", "dr.", "prof.", "tel."}
+
 WORD = r"[^\W\d_]+"
 AT = r"\s?(?:@|\(at\)|\[at\]|\{at\})\s?"
 LABEL = r"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?"
@@ -77,7 +80,7 @@ def _left(low: str, start: int, many: int) -> list[str]:
     """The words before, of the same sentence; ``^`` for its start."""
     words = low[max(0, start - 48) : start].split()[-many:]
     for i in range(len(words) - 1, -1, -1):
-        if words[i][-1] in ".!?":
+        if words[i][-1] in ".!?" and words[i] not in SHORT:
             return ["^", *words[i + 1 :]]
     return ["^", *words] if len(words) < many and start <= 48 else words
 
@@ -217,7 +220,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
 
 
 def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
-    """``kind, form, type`` of the forms that belong to persons, after some rounds on the graph of forms and patterns."""
+    """``kind, form, type, alone`` of the forms that belong to persons, after some rounds on the graph of forms and patterns;
+    forms that are not ``alone`` belong to persons only in part."""
     edges = contexts.filter("kind <> 'title'")
     weight = edges.groupBy("kind", "form", "side", "pattern").agg(F.sum("n").alias("n"))
     totals = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.sum("n").alias("all"))
@@ -239,7 +243,12 @@ def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
         # forms that are known by now count in full
         scores = materialize(scores.withColumn("score", F.when(F.col("score") >= 0.5, 1.0).otherwise(F.col("score"))), "forms")
     best = scores.groupBy("kind", "form").agg(F.max(F.struct("score", "type")).alias("s"))
-    return best.filter("s.score >= 0.5").select("kind", "form", F.col("s.type").alias("type"))
+    # copies of one text repeat a chance find; a form has to stand in several contexts
+    variety = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.countDistinct("pattern").alias("contexts"))
+    often = best.join(variety.filter("contexts >= 3"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"), (F.col("s.score") >= 0.5).alias("alone"))
+    # a form that numbers of things share with those of persons counts where a cue stands beside it
+    shared = base.filter("base >= 0.1").select("kind", "form", "type")
+    return often.filter("alone").unionByName(often.filter("NOT alone").join(shared, ["kind", "form", "type"], "left_semi"))
 
 
 def _instances(docs: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
@@ -282,8 +291,8 @@ def _instances(docs: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
 def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_patterns: int) -> tuple[DataFrame, DataFrame]:
     """Given names and family names, from titles and from the contexts that titled names share with others."""
     titled = contexts.filter("kind = 'title'")
-    families = titled.filter("length(form) > 2").select(F.col("form").alias("word")).distinct()
-    shared = titled.filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", "")).groupBy("side", "pattern").agg(F.countDistinct("form").alias("forms"), F.sum("n").alias("n")).filter("forms >= 2")
+    families = titled.filter("length(form) > 2 AND side = 'l'").groupBy(F.col("form").alias("word")).agg(F.countDistinct("pattern").alias("c")).filter("c >= 2").select("word")
+    shared = titled.filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", "")).groupBy("side", "pattern").agg(F.countDistinct("form").alias("forms"), F.sum("n").alias("n")).filter("forms >= 3")
     patterns = [(r["side"], r["pattern"]) for r in shared.orderBy(F.desc("forms"), "side", "pattern").limit(most_patterns).collect()]
     if not patterns:
         return families.limit(0), families
@@ -298,20 +307,22 @@ def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_pattern
         quality = marked.groupBy("side", "pattern").agg((F.sum("known") / (F.count(F.lit(1)) + 1)).alias("quality"))
         rated = materialize(marked.join(quality, ["side", "pattern"]), "rated")
         # a good pattern makes a name of what stands in it, a fair one together with a known partner
-        more = rated.filter("f = 1 AND quality >= 0.1 OR quality >= 0.8").groupBy(F.col("given").alias("word")).agg(F.countDistinct("family").alias("c"), F.max("quality").alias("q"), proper.alias("proper"))
-        givens = materialize(givens.unionByName(more.filter("proper AND length(word) > 1 AND NOT word LIKE '%.' AND (c >= 3 OR q >= 0.8)").select("word")).distinct(), "givens")
+        contexts_of = F.countDistinct("side", "pattern").alias("contexts")
+        more = rated.filter("f = 1 AND quality >= 0.1 OR quality >= 0.8").groupBy(F.col("given").alias("word")).agg(F.countDistinct("family").alias("c"), contexts_of, proper.alias("proper"))
+        givens = materialize(givens.unionByName(more.filter("proper AND length(word) > 1 AND NOT word LIKE '%.' AND c >= 3 AND contexts >= 3").select("word")).distinct(), "givens")
         initials = rated.filter("given LIKE '%.'")
         near = rated.join(givens, rated.given == givens.word, "left_semi").unionByName(initials).filter("quality >= 0.4")
-        near = near.groupBy(F.col("family").alias("word")).agg(proper.alias("proper")).filter("proper AND length(word) > 2")
+        near = near.groupBy(F.col("family").alias("word")).agg(proper.alias("proper"), contexts_of).filter("proper AND length(word) > 2 AND contexts >= 2")
         families = materialize(families.unionByName(near.select("word")).distinct(), "families")
     return givens, families
 
 
 @dataclass
 class Knowledge:
-    """What the corpus taught: types of number and house forms, and words of names."""
+    """What the corpus taught: types of number and house forms, forms that need a cue beside them, and words of names."""
 
     forms: dict[tuple[str, str], str]
+    cued: dict[tuple[str, str], str]
     givens: set[str]
     families: set[str]
 
@@ -322,20 +333,23 @@ def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_0
     with the most family names, are followed in the second pass."""
     rows = docs.select(F.col(text).alias("text")).filter("text IS NOT NULL AND text <> ''")
     contexts = _contexts(rows)
-    forms = {(r["kind"], r["form"]): r["type"] for r in _score_forms(contexts, rounds).collect()}
+    scored = _score_forms(contexts, rounds).collect()
+    forms = {(r["kind"], r["form"]): r["type"] for r in scored if r["alone"]}
+    cued = {(r["kind"], r["form"]): r["type"] for r in scored if not r["alone"]}
     givens, families = _score_names(rows, contexts, rounds, most_patterns)
     if givens.count() + families.count() > most_words:
         raise ValueError(f"more than {most_words} name words; raise most_words")
-    return Knowledge(forms, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()})
+    return Knowledge(forms, cued, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()})
 
 
 class Finder:
     """Items of one text after another."""
 
     def __init__(self, known: Knowledge):
-        self.forms, self.givens = known.forms, known.givens
+        self.forms, self.cued, self.givens = known.forms, known.cued, known.givens
         self.families = _automaton(word for word in known.families if len(word) > 1)
-        self.before = regex.compile(rf"(?r)(?<!\w)(?:({WORD})\s(?:\p{{L}}\.\s)?|(\p{{Lu}})\.\s)")
+        self.before = regex.compile(rf"(?r)(?<!\w)({WORD})\s(?:\p{{L}}\.\s)?")
+        self.initial = regex.compile(r"(?r)(?<!\w)\p{Lu}\.\s")
         self.behind = regex.compile(rf",\s({WORD})(?!\w)")
 
     def _names(self, text: str, low: str) -> Iterator[tuple[int, int]]:
@@ -344,7 +358,9 @@ class Finder:
             if not _alone(text, start, end):
                 continue
             prior = self.before.match(text, max(0, start - 40), start)
-            if prior and ((prior.group(1) or "").lower() in self.givens or prior.group(2)):
+            if not prior or prior.group(1).lower() not in self.givens:
+                prior = self.initial.match(text, max(0, start - 3), start)
+            if prior:
                 yield prior.start(), end
             elif (after := self.behind.match(text, end)) and after.group(1).lower() in self.givens:
                 yield start, after.end()
@@ -357,7 +373,11 @@ class Finder:
         taken, titled = _marked(text, low)
         found = [*[(b, e, "email") for b, e in taken], *[(b, e, "name") for b, e, _ in titled]]
         for kind, form, start, end in _numbers(text, taken):
-            if t := self.forms.get((kind, form)):
+            t = self.forms.get((kind, form))
+            if t is None and (kind, form) in self.cued:
+                cue = _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5))
+                t = cue if cue == self.cued[kind, form] else None
+            if t:
                 found.append((start, end, t))
         found += [(b, e, "name") for b, e in self._names(text, low) if not any(x < e and b < y for x, y in taken)]
         out: list[tuple[int, int, str]] = []

@@ -52,8 +52,8 @@ def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     a day is closed, and sampled, as soon as a scoring of a later day is there."""
     scores = table(spark, sf_dir, "scores")
     arrivals = scores.select("source_id", F.to_date("scored_at").alias("batch"))
-    open_day = arrivals.agg(F.max("batch").alias("open_day"))
-    picks = frozen_sample(arrivals, "source_id", "batch", RATE, "scores-v1").crossJoin(F.broadcast(open_day)).filter("batch < open_day")
+    open_day = arrivals.agg(F.max("batch")).first()[0]
+    picks = frozen_sample(arrivals, "source_id", "batch", RATE, "scores-v1").filter(F.col("batch") < F.lit(open_day))
     return _latest_scores(spark, sf_dir).join(picks.select("source_id", "batch"), "source_id").select("source_id", "domain", "relevance_score", F.date_format("batch", "yyyy-MM-dd").alias("batch"))
 
 
