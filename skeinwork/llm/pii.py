@@ -244,8 +244,8 @@ def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
         scores = materialize(scores.withColumn("score", F.when(F.col("score") >= 0.5, 1.0).otherwise(F.col("score"))), "forms")
     best = scores.groupBy("kind", "form").agg(F.max(F.struct("score", "type")).alias("s"))
     # copies of one text repeat a chance find; a form has to stand in several contexts
-    variety = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.countDistinct("pattern").alias("contexts"))
-    often = best.join(variety.filter("contexts >= 3"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"), (F.col("s.score") >= 0.5).alias("alone"))
+    variety = weight.groupBy("kind", "form").agg(F.countDistinct("side", "pattern").alias("contexts"))
+    often = best.join(variety.filter("contexts >= 4"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"), (F.col("s.score") >= 0.5).alias("alone"))
     # a form that numbers of things share with those of persons counts where a cue stands beside it
     shared = base.filter("base >= 0.1").select("kind", "form", "type")
     return often.filter("alone").unionByName(often.filter("NOT alone").join(shared, ["kind", "form", "type"], "left_semi"))
@@ -373,7 +373,8 @@ class Finder:
         taken, titled = _marked(text, low)
         found = [*[(b, e, "email") for b, e in taken], *[(b, e, "name") for b, e, _ in titled]]
         for kind, form, start, end in _numbers(text, taken):
-            t = self.forms.get((kind, form))
+            # forms that need no context count even where the corpus has them once
+            t = self.forms.get((kind, form)) or _seed_type(kind, form, [], [])
             if t is None and (kind, form) in self.cued:
                 cue = _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5))
                 t = cue if cue == self.cued[kind, form] else None
