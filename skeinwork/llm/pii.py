@@ -1,7 +1,7 @@
 """Personal information inside free text, by bootstrapped contextual extraction.
 
 Seeds are forms that need no context: international phone numbers, numbers next to the name of an identity document,
-street names with a house number, family names after a title. The words around seeds become patterns. Patterns and the
+street names with a house number, family names after a title, full names with a middle initial. The words around seeds become patterns. Patterns and the
 forms (of numbers) or words (of names) met in them make up a graph, which Spark scores in turns: a pattern is as good
 as the share of its instances that are known, an instance as good as the patterns it occurs in. Forms and words that
 good patterns bring up are used like seeds from then on, so identifiers of unseen forms and unseen names are found
@@ -12,8 +12,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import ahocorasick
 import pyarrow as pa
@@ -28,6 +28,17 @@ from skeinwork.scratch import materialize
 ID_CUES = ["ssn", "social security", "passport", "nino", "national insurance", "ni number", "identity card", "id card", "national id", "driving licence", "driver's licence", "driver's license", "license number", "licence number", "tax id", "taxpayer", "cpf"]
 STREETS = ["street", "road", "avenue", "lane", "rue", "calle", "strasse", "straße", "box"]
 TITLES = ["mr", "mrs", "ms", "miss", "dr", "prof", "herr", "frau", "señor", "señora", "sra", "mme"]
+#: what people write before their own name or that of an addressee
+NAME_CUES = ["my name is", "regards,", "sincerely,", "signed:", "signed by", "attn:", "mein name ist", "me llamo", "mi nombre es", "je m'appelle", "meu nome é"]
+#: a cue counts like so many known names out of one more
+CUE_WEIGHT = 10
+#: what a pair with capitals of which nothing is known counts against a context; one in lower case counts 1
+UNKNOWN = 0.5
+#: share from which a context, or a word, is taken for one of names
+GOOD = 0.5
+
+# fixed values: words with a capital at the start of a sentence that go on after a name
+FUNCTION_WORDS = set("a all also an and any are as at both but by can could did do does for from good had has have he hello her here hi his how however i if in is it its last later let maybe my never next no not now of on once one only or our out please she since so some sorry still than thank thanks that the their then there these they this those though to today we well were what when where which while who why will with would yes yet you your".split())
 
 # fixed values: abbreviations, after which a sentence goes on
 SHORT = {"no.", "nr.", "mr.", "mrs.", "ms.", "dr.", "prof.", "tel."}
@@ -48,6 +59,8 @@ BEHIND = regex.compile(rf"(?<![\w.,$£€¥/-])(\d{{1,5}})[A-Za-z]?\s({WORD})\s(
 BEFORE = regex.compile(rf"(?ri)(?<!\w)(?:(calle|via|rua|avenida|plaza)\s{WORD}|{WORD}?(stra(?:ss|ß)e|gasse|weg|platz)|((?:p\.?\s?o\.?\s?)?box|postfach|apartado))\s")
 FLAT = regex.compile(r"(?ri)(?<!\w)(?:flat|apt|apartment|unit|suite)\.?\s\d{1,4}\w?,?\s")
 TITLED = regex.compile(rf"\.?\s({WORD})")
+#: a name by its form alone: given name, initial and family name
+FULL = regex.compile(r"(?<!\w)(\p{Lu}\p{L}+)\s\p{Lu}\.\s(\p{Lu}\p{L}+)(?!\w)")
 PAIR = regex.compile(rf"[^\w]{{0,3}}({WORD}\.?)(?:(,\s)|\s(?:\p{{L}}\.\s)?)({WORD})(?!\w)")
 PAIR_BEFORE = regex.compile(rf"(?r)(?<!\w)({WORD}\.?)(?:(,\s)|\s(?:\p{{L}}\.\s)?)({WORD})[^\w]{{1,3}}")
 CAP = {"phone": "[PHONE]", "email": "[EMAIL]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
@@ -147,6 +160,12 @@ def _marked(text: str, low: str) -> tuple[list[tuple[int, int]], list[tuple[int,
     return emails, [t for t in titled if not any(b < t[1] and t[0] < e for b, e in emails)]
 
 
+def _full_names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """Start, end, given and family name of the names that are known by their form."""
+    found = [(m.start(), m.end(), m.group(1).lower(), m.group(2).lower()) for m in FULL.finditer(text)] if ". " in text else []
+    return [x for x in found if not {x[2], x[3]} & FUNCTION_WORDS and x[2] not in TITLES and not any(b < x[1] and x[0] < e for b, e in taken)]
+
+
 def _numbers(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, str, int, int]]:
     """kind, form, start and end of what may be a number of somebody, or a house."""
     out, upto = [], 0
@@ -188,8 +207,8 @@ def _numbers(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, str, in
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """First pass: ``kind, form, side, pattern, seed, n``: how often a form stood in a context. Titled names have kind
-    ``title`` and the family name as their form."""
+    """First pass: ``kind, form, side, pattern, seed, n``: how often a form stood in a context. Names after a title and
+    full names have kind ``title`` and the family name as their form, the given names among them kind ``given``."""
 
     def counted(found: Counter) -> pa.RecordBatch:
         columns = list(zip(*found))
@@ -206,7 +225,10 @@ def _contexts(docs: DataFrame) -> DataFrame:
                     seed = _seed_type(kind, form, left, right)
                     found[kind, form, "l", " ".join(left[-2:]), seed] += 1
                     found[kind, form, "r", " ".join(right[:3]), seed] += 1
-                for start, end, family in titled:
+                full = _full_names(text, emails)
+                for _, _, given, _ in full:
+                    found["given", given, "", "", "name"] += 1
+                for start, end, family in [*titled, *((b, e, family) for b, e, _, family in full)]:
                     found["title", family, "l", " ".join(_left(low, start, 2)), "name"] += 1
                     found["title", family, "r", " ".join(_right(text, low, end, 2)[:2]), "name"] += 1
             if len(found) > 200_000:
@@ -222,7 +244,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
 def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
     """``kind, form, type, alone`` of the forms that belong to persons, after some rounds on the graph of forms and patterns;
     forms that are not ``alone`` belong to persons only in part."""
-    edges = contexts.filter("kind <> 'title'")
+    edges = contexts.filter("kind NOT IN ('title', 'given')")
     weight = edges.groupBy("kind", "form", "side", "pattern").agg(F.sum("n").alias("n"))
     totals = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.sum("n").alias("all"))
     seeds = edges.filter("seed IS NOT NULL AND side = 'l'").groupBy("kind", "form", F.col("seed").alias("type")).agg(F.sum("n").alias("m"))
@@ -251,80 +273,120 @@ def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
     return often.filter("alone").unionByName(often.filter("NOT alone").join(shared, ["kind", "form", "type"], "left_semi"))
 
 
-def _instances(docs: DataFrame, patterns: list[tuple[str, str]]) -> DataFrame:
-    """Second pass: pairs of words in the contexts of titled names: ``side, pattern, given, family, n``, given and family
-    as their order and comma tell."""
+class _Pairs:
+    """Pairs of words in the given contexts of a text."""
+
+    def __init__(self, patterns: Iterable[tuple[str, str]]):
+        patterns = set(patterns)
+        self.left = _automaton(p for s, p in patterns if s == "l")
+        self.right = _automaton(p for s, p in patterns if s == "r")
+
+    def __call__(self, text: str, low: str) -> Iterator[tuple[str, str, regex.Match]]:
+        for side, automaton in (("l", self.left), ("r", self.right)):
+            for last, pattern in automaton.iter(low) if automaton else ():
+                start, end = last - len(pattern) + 1, last + 1
+                # a mark stands by itself, a word may follow a bracket or quotation mark
+                if start and (low[start - 1].isalnum() if pattern[0].isalnum() else not low[start - 1].isspace()) or (end < len(low) and low[end].isalnum() and pattern[-1].isalnum()):
+                    continue
+                pair = PAIR.match(text, end) if side == "l" else PAIR_BEFORE.match(text, max(0, start - 60), start)
+                if pair:
+                    yield side, pattern, pair
 
-    left = _automaton({p for s, p in patterns if s == "l"})
-    right = _automaton({p for s, p in patterns if s == "r"})
+
+def _parts(pair: regex.Match) -> tuple[str, str] | None:
+    """Given and family name of a pair, as its order and comma tell."""
+    first, comma, second = pair.groups()
+    given, family = (second, first) if comma else (first, second)
+    return None if family[-1] == "." or (given[-1] == "." and len(given) > 2) else (given, family)
+
+
+def _instances(docs: DataFrame, patterns: list[tuple[str, str]], words: list[str]) -> DataFrame:
+    """Second pass: pairs of words in the contexts: ``side, pattern, given, family, n, capital``, and with side ``w`` how
+    often each of ``words`` stands in the texts (as ``family``), and how often with a capital."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, known = _Pairs(patterns), _automaton(words)
         found: Counter = Counter()
         capital: Counter = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                low, hits = _lowered(text), []
-                for last, pattern in left.iter(low) if left else ():
-                    if last >= len(pattern) and low[last - len(pattern)].isalnum():
-                        continue
-                    hits.append(("l", pattern, PAIR.match(text, last + 1)))
-                for last, pattern in right.iter(low) if right else ():
-                    start = last - len(pattern) + 1
-                    hits.append(("r", pattern, PAIR_BEFORE.match(text, max(0, start - 60), start)))
-                for side, pattern, pair in hits:
-                    if pair:
-                        first, comma, second = pair.groups()
-                        given, family = (second, first) if comma else (first, second)
-                        if family[-1] == "." or (given[-1] == "." and len(given) > 2):
-                            continue
+                low = _lowered(text)
+                for side, pattern, pair in pairs(text, low):
+                    if parts := _parts(pair):
+                        given, family = parts
                         key = side, pattern, given.lower(), family.lower()
                         found[key] += 1
                         capital[key] += given[0].isupper() and family[0].isupper()
+                for last, word in known.iter(low) if known else ():
+                    start = last - len(word) + 1
+                    if _alone(text, start, last + 1):
+                        key = "w", "", "", word
+                        found[key] += 1
+                        capital[key] += text[start].isupper()
         if found:
             numbers = [pa.array(list(found.values()), pa.int64()), pa.array([capital[k] for k in found], pa.int64())]
             yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in zip(*found)], *numbers], names=["side", "pattern", "given", "family", "n", "capital"])
 
-    pairs = docs.select("text").mapInArrow(work, "side string, pattern string, given string, family string, n long, capital long")
-    return materialize(pairs.groupBy("side", "pattern", "given", "family").agg(F.sum("n").alias("n"), F.sum("capital").alias("capital")), "instances")
+    rows = docs.select("text").mapInArrow(work, "side string, pattern string, given string, family string, n long, capital long")
+    return materialize(rows.groupBy("side", "pattern", "given", "family").agg(F.sum("n").alias("n"), F.sum("capital").alias("capital")), "instances")
+
 
+def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_patterns: int) -> tuple[DataFrame, DataFrame, set[tuple[str, str]]]:
+    """Given names and family names, from titles, full names and the contexts that these share with others, and the
+    contexts that are good enough to make a name of what stands in them.
 
-def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_patterns: int) -> tuple[DataFrame, DataFrame]:
-    """Given names and family names, from titles and from the contexts that titled names share with others."""
-    titled = contexts.filter("kind = 'title'")
-    families = titled.filter("length(form) > 2 AND side = 'l'").groupBy(F.col("form").alias("word")).agg(F.countDistinct("pattern").alias("c")).filter("c >= 2").select("word")
-    shared = titled.filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", "")).groupBy("side", "pattern").agg(F.countDistinct("form").alias("forms"), F.sum("n").alias("n")).filter("forms >= 3")
+    All tests are shares with a constant added, so that little evidence counts little but nothing hangs on the size of
+    the table: of the pairs in a context those with a known part, of the pairs of a word the quality of their contexts.
+    """
+    seeds = contexts.filter("kind IN ('title', 'given') AND length(form) > 1")
+    seeds = seeds.groupBy(F.col("form").alias("word")).agg(F.max(F.expr("kind = 'given'")).alias("as_given"), F.max(F.expr("kind = 'title' AND length(form) > 2")).alias("as_family"))
+    words = [tuple(r) for r in seeds.collect()]
+    shared = contexts.filter("kind = 'title'").filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", "")).groupBy("side", "pattern").agg(F.countDistinct("form").alias("forms"))
+    cues = {("l", cue) for cue in NAME_CUES}
     patterns = [(r["side"], r["pattern"]) for r in shared.orderBy(F.desc("forms"), "side", "pattern").limit(most_patterns).collect()]
-    if not patterns:
-        return families.limit(0), families
-    edges = _instances(docs, patterns).filter(~F.col("given").isin(TITLES) & ~F.col("family").isin(TITLES))
+    counted = _instances(docs, [*cues, *patterns], sorted({w for w, *_ in words}))
     # names are mostly written with capitals
     proper = F.sum("capital") * 2 >= F.sum("n")
-    givens = families.limit(0)
-    for _ in range(rounds):
+    lower = [r[0] for r in counted.filter("side = 'w' AND capital * 2 < n").select("family").collect()]
+    spark = docs.sparkSession
+    table = spark.createDataFrame([w for w in words if w[0] not in set(lower)], "word string, as_given boolean, as_family boolean")
+    givens, families = table.filter("as_given").select("word"), table.filter("as_family").select("word")
+    edges = counted.filter("side <> 'w'").filter(~F.col("given").isin(TITLES) & ~F.col("family").isin(TITLES))
+    cue = F.when((F.col("side") == "l") & F.col("pattern").isin(NAME_CUES), CUE_WEIGHT).otherwise(0)
+
+    def rate() -> DataFrame:
         marked = edges.join(givens.withColumn("g", F.lit(1)), edges.given == givens.word, "left").drop("word")
         marked = marked.join(families.withColumn("f", F.lit(1)), F.col("family") == F.col("word"), "left").drop("word")
-        marked = marked.withColumn("known", F.coalesce("g", "f", F.col("given").endswith(".").cast("int")))
-        quality = marked.groupBy("side", "pattern").agg((F.sum("known") / (F.count(F.lit(1)) + 1)).alias("quality"))
-        rated = materialize(marked.join(quality, ["side", "pattern"]), "rated")
-        # a good pattern makes a name of what stands in it, a fair one together with a known partner
-        contexts_of = F.countDistinct("side", "pattern").alias("contexts")
-        more = rated.filter("f = 1 AND quality >= 0.1 OR quality >= 0.8").groupBy(F.col("given").alias("word")).agg(F.countDistinct("family").alias("c"), contexts_of, proper.alias("proper"))
-        givens = materialize(givens.unionByName(more.filter("proper AND length(word) > 1 AND NOT word LIKE '%.' AND c >= 3 AND contexts >= 3").select("word")).distinct(), "givens")
-        initials = rated.filter("given LIKE '%.'")
-        near = rated.join(givens, rated.given == givens.word, "left_semi").unionByName(initials).filter("quality >= 0.4")
-        near = near.groupBy(F.col("family").alias("word")).agg(proper.alias("proper"), contexts_of).filter("proper AND length(word) > 2 AND contexts >= 2")
+        marked = marked.withColumn("known", F.coalesce("g", "f", F.col("given").endswith(".").cast("int"), F.lit(0)))
+        quality = marked.groupBy("side", "pattern").agg(F.sum("known").alias("known"), F.sum(F.when((F.col("known") == 1) | (F.col("capital") * 2 < F.col("n")), 1.0).otherwise(UNKNOWN)).alias("pairs"))
+        return materialize(marked.drop("known").join(quality.withColumn("quality", (F.col("known") + cue) / (F.col("pairs") + 1 + cue)), ["side", "pattern"]), "rated")
+
+    def taken(rated: DataFrame, word: str, partner: str) -> DataFrame:
+        # a known partner vouches for half of what the context leaves open
+        value = F.when(F.expr(partner), (F.col("quality") + 1) / 2).otherwise(F.col("quality"))
+        scored = rated.groupBy(F.col(word).alias("word")).agg((F.sum(value) / (F.count(F.lit(1)) + F.lit(0.5))).alias("score"), proper.alias("proper"))
+        return scored.filter((F.col("score") >= GOOD) & F.col("proper") & ~F.col("word").isin(sorted(FUNCTION_WORDS)))
+
+    for _ in range(rounds):
+        rated = rate()
+        more = taken(rated, "given", "f = 1").filter("length(word) > 1 AND NOT word LIKE '%.'")
+        near = taken(rated, "family", "g = 1 OR given LIKE '%.'").filter("length(word) > 2")
+        givens = materialize(givens.unionByName(more.select("word")).distinct(), "givens")
         families = materialize(families.unionByName(near.select("word")).distinct(), "families")
-    return givens, families
+    quality = {(r["side"], r["pattern"]): r["quality"] for r in rate().select("side", "pattern", "quality").distinct().collect()}
+    return givens, families, {p for p in {*cues, *patterns} if quality.get(p, CUE_WEIGHT / (CUE_WEIGHT + 1) if p in cues else 0) >= GOOD}
 
 
 @dataclass
 class Knowledge:
-    """What the corpus taught: types of number and house forms, forms that need a cue beside them, and words of names."""
+    """What the corpus taught: types of number and house forms, forms that need a cue beside them, words of names and
+    the contexts of names."""
 
     forms: dict[tuple[str, str], str]
     cued: dict[tuple[str, str], str]
     givens: set[str]
     families: set[str]
+    contexts: set[tuple[str, str]] = field(default_factory=set)
 
 
 def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_000, most_patterns: int = 2_000) -> Knowledge:
@@ -336,10 +398,10 @@ def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_0
     scored = _score_forms(contexts, rounds).collect()
     forms = {(r["kind"], r["form"]): r["type"] for r in scored if r["alone"]}
     cued = {(r["kind"], r["form"]): r["type"] for r in scored if not r["alone"]}
-    givens, families = _score_names(rows, contexts, rounds, most_patterns)
+    givens, families, good = _score_names(rows, contexts, rounds, most_patterns)
     if givens.count() + families.count() > most_words:
         raise ValueError(f"more than {most_words} name words; raise most_words")
-    return Knowledge(forms, cued, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()})
+    return Knowledge(forms, cued, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()}, good)
 
 
 class Finder:
@@ -348,6 +410,7 @@ class Finder:
     def __init__(self, known: Knowledge):
         self.forms, self.cued, self.givens = known.forms, known.cued, known.givens
         self.families = _automaton(word for word in known.families if len(word) > 1)
+        self.pairs = _Pairs(known.contexts)
         self.before = regex.compile(rf"(?r)(?<!\w)({WORD})\s(?:\p{{L}}\.\s)?")
         self.initial = regex.compile(r"(?r)(?<!\w)\p{Lu}\.\s")
         self.behind = regex.compile(rf",\s({WORD})(?!\w)")
@@ -365,6 +428,13 @@ class Finder:
             elif (after := self.behind.match(text, end)) and after.group(1).lower() in self.givens:
                 yield start, after.end()
 
+    def _placed(self, text: str, low: str) -> Iterator[tuple[int, int]]:
+        """Pairs with capitals on one line in good contexts, known or not."""
+        for _, _, pair in self.pairs(text, low):
+            parts = _parts(pair)
+            if parts and "\n" not in text[pair.start(1) : pair.end(3)] and all(p[0].isupper() and p.lower() not in FUNCTION_WORDS and p.lower() not in TITLES for p in parts) and len(parts[1]) > 1:
+                yield pair.start(1), pair.end(3)
+
     def items(self, text: str) -> list[tuple[int, int, str]]:
         """start, end and type, without overlaps, in order."""
         if not text:
@@ -380,7 +450,8 @@ class Finder:
                 t = cue if cue == self.cued[kind, form] else None
             if t:
                 found.append((start, end, t))
-        found += [(b, e, "name") for b, e in self._names(text, low) if not any(x < e and b < y for x, y in taken)]
+        found += [(b, e, "name") for b, e, *_ in _full_names(text, taken)]
+        found += [(b, e, "name") for b, e in [*self._names(text, low), *self._placed(text, low)] if not any(x < e and b < y for x, y in taken)]
         out: list[tuple[int, int, str]] = []
         for item in sorted(found, key=lambda i: (i[0], -i[1])):
             if not out or item[0] >= out[-1][1]:
