@@ -1,8 +1,8 @@
 """Personal information inside free text, by bootstrapped contextual extraction.
 
-Seeds are forms that need no context: international phone numbers, numbers next to the name of an identity document,
-street names with a house number, family names after a title, full names with a middle initial. The words around seeds become patterns. Patterns and the
-forms (of numbers) or words (of names) met in them make up a graph, which Spark scores in turns: a pattern is as good
+Seeds need no learning: international phone numbers, numbers next to the name of an identity document,
+street names with a house number, family names after a title, full names with a middle initial. The words around seeds
+become patterns. Patterns and the forms (of numbers) or words (of names) met in them make up a graph, which Spark scores in turns: a pattern is as good
 as the share of its instances that are known, an instance as good as the patterns it occurs in. Forms and words that
 good patterns bring up are used like seeds from then on, so identifiers of unseen forms and unseen names are found
 wherever they stand. Three passes over the texts: contexts of seeds, instances in these contexts, detection.
@@ -52,6 +52,8 @@ DOMAIN = regex.compile(rf"(?i)(?:{AT}{LABEL}(?:{DOT}{LABEL})*?{DOT}|\sat\s{LABEL
 #: digits with what may stand between and before them, on one line
 RUN = re.compile(r"\d[\d\-./ ()]*")
 DIGITS = r"\(?\d(?:\d|[-./ ]\(?(?=\d)|\)[- ]?(?=\d))*"
+#: as whole words: those who write of renewing passports give no number
+CUE = re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, ID_CUES))})(?!\w)")
 LETTERED = regex.compile(rf"(?<![\w-])(?!ID\b|NO\b)[A-Z]{{1,3}}[- ]?{DIGITS}(?:[- ]?[A-Z](?!\w))?(?!\w)")
 PLAIN = regex.compile(rf"(?<![\w.,/#@$£€¥-])\+?{DIGITS}(?:-?[A-Z](?!\w))?(?!\w)")
 #: a house number and what goes with it: behind the number, or before it
@@ -135,7 +137,7 @@ def _seed_type(kind: str, form: str, left: list[str], right: list[str]) -> str |
     if _is_phone(form):
         return "phone"
     around = " ".join([*left, "|", *right])
-    return "id_number" if any(cue in around for cue in ID_CUES) else None
+    return "id_number" if CUE.search(around) else None
 
 
 def _marked(text: str, low: str) -> tuple[list[tuple[int, int]], list[tuple[int, int, str]]]:
@@ -242,8 +244,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
 
 
 def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
-    """``kind, form, type, alone`` of the forms that belong to persons, after some rounds on the graph of forms and patterns;
-    forms that are not ``alone`` belong to persons only in part."""
+    """``kind, form, type`` of the forms that belong to persons without a cue, after some rounds on the graph of forms and
+    patterns. Numbers of other forms, or of forms shared with things, count where a cue stands beside them."""
     edges = contexts.filter("kind NOT IN ('title', 'given')")
     weight = edges.groupBy("kind", "form", "side", "pattern").agg(F.sum("n").alias("n"))
     totals = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.sum("n").alias("all"))
@@ -267,10 +269,7 @@ def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
     best = scores.groupBy("kind", "form").agg(F.max(F.struct("score", "type")).alias("s"))
     # copies of one text repeat a chance find; a form has to stand in several contexts
     variety = weight.groupBy("kind", "form").agg(F.countDistinct("side", "pattern").alias("contexts"))
-    often = best.join(variety.filter("contexts >= 4"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"), (F.col("s.score") >= 0.5).alias("alone"))
-    # a form that numbers of things share with those of persons counts where a cue stands beside it
-    shared = base.filter("base >= 0.1").select("kind", "form", "type")
-    return often.filter("alone").unionByName(often.filter("NOT alone").join(shared, ["kind", "form", "type"], "left_semi"))
+    return best.filter("s.score >= 0.5").join(variety.filter("contexts >= 4"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"))
 
 
 class _Pairs:
@@ -379,11 +378,10 @@ def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_pattern
 
 @dataclass
 class Knowledge:
-    """What the corpus taught: types of number and house forms, forms that need a cue beside them, words of names and
-    the contexts of names."""
+    """What the corpus taught: types of number and house forms that need no cue, words of names and the contexts of
+    names."""
 
     forms: dict[tuple[str, str], str]
-    cued: dict[tuple[str, str], str]
     givens: set[str]
     families: set[str]
     contexts: set[tuple[str, str]] = field(default_factory=set)
@@ -396,19 +394,18 @@ def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_0
     rows = docs.select(F.col(text).alias("text")).filter("text IS NOT NULL AND text <> ''")
     contexts = _contexts(rows)
     scored = _score_forms(contexts, rounds).collect()
-    forms = {(r["kind"], r["form"]): r["type"] for r in scored if r["alone"]}
-    cued = {(r["kind"], r["form"]): r["type"] for r in scored if not r["alone"]}
+    forms = {(r["kind"], r["form"]): r["type"] for r in scored}
     givens, families, good = _score_names(rows, contexts, rounds, most_patterns)
     if givens.count() + families.count() > most_words:
         raise ValueError(f"more than {most_words} name words; raise most_words")
-    return Knowledge(forms, cued, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()}, good)
+    return Knowledge(forms, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()}, good)
 
 
 class Finder:
     """Items of one text after another."""
 
     def __init__(self, known: Knowledge):
-        self.forms, self.cued, self.givens = known.forms, known.cued, known.givens
+        self.forms, self.givens = known.forms, known.givens
         self.families = _automaton(word for word in known.families if len(word) > 1)
         self.pairs = _Pairs(known.contexts)
         self.before = regex.compile(rf"(?r)(?<!\w)({WORD})\s(?:\p{{L}}\.\s)?")
@@ -443,12 +440,8 @@ class Finder:
         taken, titled = _marked(text, low)
         found = [*[(b, e, "email") for b, e in taken], *[(b, e, "name") for b, e, _ in titled]]
         for kind, form, start, end in _numbers(text, taken):
-            # forms that need no context count even where the corpus has them once
-            t = self.forms.get((kind, form)) or _seed_type(kind, form, [], [])
-            if t is None and (kind, form) in self.cued:
-                cue = _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5))
-                t = cue if cue == self.cued[kind, form] else None
-            if t:
+            # forms that need no context, and numbers with a cue beside them, count even where the corpus has them once
+            if t := self.forms.get((kind, form)) or _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5)):
                 found.append((start, end, t))
         found += [(b, e, "name") for b, e, *_ in _full_names(text, taken)]
         found += [(b, e, "name") for b, e in [*self._names(text, low), *self._placed(text, low)] if not any(x < e and b < y for x, y in taken)]

@@ -22,3 +22,10 @@ def test_names_do_not_hang_on_the_size_of_the_table(spark):
     assert texts[:3] == ["Thanks for the help. Regards, [NAME]", "My name is [NAME] and I have been waiting.", "The room was cold. [NAME] never got the parcel."]
     assert texts[3].startswith("Later [NAME] came back") and texts[4].startswith("Regards, The team. Two-Step Login") and "[NAME]" not in texts[4]
     assert ("l", "regards,") in known.contexts and "anton" in known.givens
+
+
+def test_a_cue_beside_a_number_needs_no_learning(spark):
+    orders = [f"My order {n} came late, {w} of May." for n in range(20000000, 20000040) for w in ("first", "third")]
+    known, texts = found(spark, ["They asked for my SSN, which is 666-95-6193", "passport no X22888753 expired", "My passport no 20770001 was refused.", "One for renewing passports. Order 20770002 is open."], orders)
+    assert texts == ["They asked for my SSN, which is [ID_NUMBER]", "passport no [ID_NUMBER] expired", "My passport no [ID_NUMBER] was refused.", "One for renewing passports. Order 20770002 is open."]
+    assert ("number", "dddddddd") not in known.forms
