@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -168,43 +168,92 @@ def _full_names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int,
     return [x for x in found if not {x[2], x[3]} & FUNCTION_WORDS and x[2] not in TITLES and not any(b < x[1] and x[0] < e for b, e in taken)]
 
 
-def _numbers(text: str, taken: list[tuple[int, int]]) -> list[tuple[str, str, int, int]]:
-    """kind, form, start and end of what may be a number of somebody, or a house."""
+def _seeded(kind: str, form: str) -> bool:
+    return _seed_type(kind, form, [], []) is not None
+
+
+def _digits(text: str) -> int:
+    return sum(map(str.isdigit, text))
+
+
+def _number_at(text: str, start: int, floor: int) -> regex.Match | None:
+    """The number whose first digit is at ``start``, with letters and marks before it, but none before ``floor``."""
+    begin = start
+    while begin > floor and start - begin < 4 and (text[begin - 1].isupper() or text[begin - 1] in "- "):
+        begin -= 1
+    for first in range(begin, start):
+        # letters set off from the digits belong to them only if a letter closes the number
+        if (m := LETTERED.match(text, first)) and (" " not in m.group()[:4] or m.group()[-1].isupper()):
+            return m
+    first = start - (start > floor and text[start - 1] == "(")
+    return PLAIN.match(text, first - (first > floor and text[first - 1] == "+")) or PLAIN.match(text, start)
+
+
+def _house_at(text: str, start: int, floor: int) -> tuple[str, int, int] | None:
+    """Form, start and end of what may be a house with its number at ``start``."""
+    if m := BEFORE.match(text, max(floor, start - 40), start):
+        if number := re.compile(r"\d{1,6}(?!\d)").match(text, start):
+            street, suffix, box = m.groups()
+            form = f"{street.lower()} * n" if street else f"*{suffix.lower()} n" if suffix else f"{re.sub('[^a-z]', '', box.lower())} n"
+            return form, m.start(), number.end()
+    elif m := BEHIND.match(text, start):
+        _, middle, head = m.groups()
+        flat = FLAT.match(text, max(floor, start - 24), start)
+        return f"n {middle.lower()} *" if middle.lower() == "rue" else f"n * {head.lower()}", flat.start() if flat else start, m.end()
+    return None
+
+
+def _pieces(text: str, start: int, end: int, known: Callable[[str, str], bool]) -> list[tuple[int, int]] | None:
+    """Known numbers that stand in a row from ``start`` to ``end``, set apart by one blank or slash. The last may be that of
+    a house, the first a short one of whatever kind; None if something else is left over."""
+    cuts = [i for i in range(start, end) if text[i] in " /"]
+    for cut in [end, *reversed(cuts)]:
+        if _digits(text[start:cut]) >= 6 and known("number", shape(text[start:cut])):
+            if cut == end or (cut == cuts[-1] and BEHIND.match(f" {text[cut + 1 : end + 64]}", 1)):
+                return [(start, cut)]
+            if rest := _pieces(text, cut + 1, end, known):
+                return [(start, cut), *rest]
+    if cuts and cuts[0] - start <= 3 and text[start:cuts[0]].isdigit():
+        return _pieces(text, cuts[0] + 1, end, known)
+    return None
+
+
+def _numbers(text: str, taken: list[tuple[int, int]], known: Callable[[str, str], bool] = _seeded) -> list[tuple[str, str, int, int]]:
+    """kind, form, start and end of what may be a number of somebody, or a house. A run of digits and marks may hold
+    several; what looks like one number of a form that is not ``known`` is taken apart where all its parts are."""
     out, upto = [], 0
     for run in RUN.finditer(text):
-        start, end = run.span()
-        if start < upto or any(b < end and start < e for b, e in taken):
-            continue
-        digits = sum(map(str.isdigit, run.group()))
-        if digits >= 6:
-            begin = start
-            while begin and start - begin < 4 and (text[begin - 1].isupper() or text[begin - 1] in "- "):
-                begin -= 1
-            m = None
-            for first in range(begin, start):
-                # letters set off from the digits belong to them only if a letter closes the number
-                if (m := LETTERED.match(text, first)) and (" " not in m.group()[:4] or m.group()[-1].isupper()):
-                    break
-                m = None
-            if m is None:
-                first = start - (start > 0 and text[start - 1] == "(")
-                m = PLAIN.match(text, first - (first > 0 and text[first - 1] == "+")) or PLAIN.match(text, start)
-            if m and sum(map(str.isdigit, m.group())) >= 6:
-                out.append(("number", shape(m.group()), m.start(), m.end()))
-                upto = m.end()
+        at, stop, fresh = max(run.start(), upto), run.end(), True
+        while at < stop:
+            if not text[at].isdigit():
+                at += 1
                 continue
-        if m := BEFORE.match(text, max(0, start - 40), start):
-            number = re.compile(r"\d{1,6}(?!\d)").match(text, start)
-            if number:
-                street, suffix, box = m.groups()
-                form = f"{street.lower()} * n" if street else f"*{suffix.lower()} n" if suffix else f"{re.sub('[^a-z]', '', box.lower())} n"
-                out.append(("house", form, m.start(), number.end()))
-                upto = number.end()
-        elif m := BEHIND.match(text, start):
-            _, middle, head = m.groups()
-            flat = FLAT.match(text, max(0, start - 24), start)
-            first = flat.start() if flat else start
-            out.append(("house", f"n {middle.lower()} *" if middle.lower() == "rue" else f"n * {head.lower()}", first, m.end()))
+            if clash := [e for b, e in taken if b <= at < e]:
+                at = max(clash)
+                continue
+            house = _house_at(text, at, upto)
+            m = _number_at(text, at, upto) if _digits(text[at:stop]) >= 6 else None
+            if m and _digits(m.group()) >= 6 and not any(b < m.end() and m.start() < e for b, e in taken):
+                form, cut = shape(m.group()), m.group().rfind(" ")
+                # a house number after a blank is no end of a number
+                tail = m.start() + cut + 1
+                ends_in_house = cut > 0 and known("number", shape(m.group()[:cut])) and (last := _house_at(text, tail, tail)) and known("house", last[0])
+                parts = [(m.start(), tail - 1)] if ends_in_house else [m.span()] if known("number", form) else _pieces(text, *m.span(), known)
+                if not parts and fresh and not (house and known("house", house[0])):
+                    parts = [m.span()]
+                if parts:
+                    out += [("number", shape(text[b:e]), b, e) for b, e in parts]
+                    at = upto = parts[-1][1]
+                    fresh = True
+                    continue
+            if house and (fresh or known("house", house[0])):
+                out.append(("house", *house))
+                at = upto = house[2]
+                continue
+            # only what is known is looked for after a start that gave nothing
+            fresh = False
+            while at < stop and text[at] not in " /":
+                at += 1
     return out
 
 
@@ -425,6 +474,9 @@ class Finder:
             elif (after := self.behind.match(text, end)) and after.group(1).lower() in self.givens:
                 yield start, after.end()
 
+    def _known(self, kind: str, form: str) -> bool:
+        return (kind, form) in self.forms or _seeded(kind, form)
+
     def _placed(self, text: str, low: str) -> Iterator[tuple[int, int]]:
         """Pairs with capitals on one line in good contexts, known or not."""
         for _, _, pair in self.pairs(text, low):
@@ -439,7 +491,7 @@ class Finder:
         low = _lowered(text)
         taken, titled = _marked(text, low)
         found = [*[(b, e, "email") for b, e in taken], *[(b, e, "name") for b, e, _ in titled]]
-        for kind, form, start, end in _numbers(text, taken):
+        for kind, form, start, end in _numbers(text, taken, self._known):
             # forms that need no context, and numbers with a cue beside them, count even where the corpus has them once
             if t := self.forms.get((kind, form)) or _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5)):
                 found.append((start, end, t))

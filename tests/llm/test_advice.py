@@ -29,3 +29,17 @@ def test_a_cue_beside_a_number_needs_no_learning(spark):
     known, texts = found(spark, ["They asked for my SSN, which is 666-95-6193", "passport no X22888753 expired", "My passport no 20770001 was refused.", "One for renewing passports. Order 20770002 is open."], orders)
     assert texts == ["They asked for my SSN, which is [ID_NUMBER]", "passport no [ID_NUMBER] expired", "My passport no [ID_NUMBER] was refused.", "One for renewing passports. Order 20770002 is open."]
     assert ("number", "dddddddd") not in known.forms
+
+
+def test_all_numbers_of_a_run():
+    forms = {("number", "0dd dddd dddd"): "phone", ("number", "0dddd ddd ddd"): "phone", ("house", "n * court"): "address"}
+    finder = pii.Finder(pii.Knowledge(forms, set(), set()))
+    for text, want in [
+        ("call 020 7946 0958 / 020 7946 0959", ["020 7946 0958", "020 7946 0959"]),
+        ("tel 07700 900 962. 07700 900 963 is new", ["07700 900 962", "07700 900 963"]),
+        ("020 7946 0958 020 7946 0959 ok", ["020 7946 0958", "020 7946 0959"]),
+        ("order 4421-99812 / 020 7946 0958", ["020 7946 0958"]),
+        ("at 07700 900 962 40 Lunebton Court now", ["07700 900 962", "40 Lunebton Court"]),
+        ("card 4111 1111 1111 1111 was lost", []),
+    ]:
+        assert [text[b:e] for b, e, _ in finder.items(text)] == want
