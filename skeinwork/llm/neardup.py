@@ -349,6 +349,21 @@ def near_duplicates(
     return NearDuplicates(members.select(F.col("id").cast(docs.schema[identifier].dataType).alias(identifier), "class"), links, identifier)
 
 
+def equal_words(docs: DataFrame, identifier: str, text: str) -> DataFrame:
+    """One row per record, as ``classes()`` gives them, for texts that are too short for sequences: texts of the same words
+    in the same order are a class, without links. Words are the runs of letters and digits of any script in the
+    lower-cased text; texts without words, such as emoji, are compared as they are but for outer spaces. A null text is a
+    class by itself, as nothing is known of it. Rows without identifier are left out, repeated identifiers count once."""
+    rows = docs.select(F.col(identifier), F.col(text).alias("_text")).filter(F.col(identifier).isNotNull()).groupBy(identifier).agg(F.min("_text").alias("_text"))
+    words = F.array_join(F.regexp_extract_all(F.lower("_text"), F.lit(r"([\p{L}\p{M}\p{N}]+)"), F.lit(1)), " ")
+    rows = rows.withColumn("_key", F.when(words != "", F.concat(F.lit("w"), words)).otherwise(F.concat(F.lit("t"), F.trim("_text"))))
+    rows = materialize(rows.select(identifier, F.sha2(F.coalesce("_key", F.concat(F.lit("n"), F.col(identifier).cast("string"))), 256).alias("_key")), "short")
+    # a heavy text such as [deleted] has one row here for all its records
+    heads = rows.groupBy("_key").agg(F.min(identifier).alias("class_id"), F.count(F.lit(1)).alias("_n"))
+    out = attach(rows.select(identifier, "_key"), heads, ["_key"], identifier, heads.count(), "_n")
+    return out.select(identifier, "class_id", F.lit(0).cast("long").alias("n_links"))
+
+
 def _verify(rows: DataFrame, members: DataFrame, candidates: DataFrame, limit: Limit, width: int, min_words: int) -> DataFrame:
     """The candidates that agree enough, by exact intersection of their sets."""
     wanted = candidates.select(F.explode(F.array("a", "b")).alias("class")).distinct()
@@ -381,4 +396,4 @@ def _verify(rows: DataFrame, members: DataFrame, candidates: DataFrame, limit: L
     return materialize(both.select("a", "b", "left", "right").mapInArrow(intersect, "a long, b long, agreement double"), "links")
 
 
-__all__ = ["NearDuplicates", "near_duplicates"]
+__all__ = ["NearDuplicates", "equal_words", "near_duplicates"]

@@ -10,7 +10,7 @@ from skeinwork.llm.capping import cap
 from skeinwork.llm.encoding import count_tokens, encode
 from skeinwork.llm.mixing import Mixture, mix
 from skeinwork.llm.joining import attach
-from skeinwork.llm.neardup import NearDuplicates, near_duplicates
+from skeinwork.llm.neardup import NearDuplicates, equal_words, near_duplicates
 from skeinwork.llm.pii import detect, learn
 from skeinwork.llm.sampling import frozen_sample
 from skeinwork.llm.topn import top_n
@@ -106,8 +106,11 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records by class of near-equal text: five words to a sequence, similarity of 0.8."""
-    return near_duplicates(table(spark, sf_dir, "source_documents"), "source_id", "analytical_text").classes()
+    """Records by class of near-equal text: five words to a sequence, similarity of 0.8. Texts too short for a sequence
+    are in one class with those of the same words, null texts by themselves; every record has a row."""
+    docs = table(spark, sf_dir, "source_documents")
+    long = materialize(near_duplicates(docs, "source_id", "analytical_text").classes(), "classes")
+    return long.unionByName(equal_words(docs.join(long.select("source_id"), "source_id", "left_anti"), "source_id", "analytical_text"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from skeinwork.llm import pii
+from skeinwork.llm import pii, queries
 
 
 def found(spark, texts, extra=()):
@@ -43,3 +43,12 @@ def test_all_numbers_of_a_run():
         ("card 4111 1111 1111 1111 was lost", []),
     ]:
         assert [text[b:e] for b, e, _ in finder.items(text)] == want
+
+
+def test_every_record_has_a_class(spark, tmp_path):
+    long = "one two three four five six seven"
+    texts = [("a", "Same here."), ("b", "same HERE"), ("c", None), ("d", None), ("e", ""), ("f", "да"), ("g", "нет"), ("h", long), ("i", long), ("a", "Same here."), ("j", "👍"), ("k", "👎"), ("l", " ")]
+    spark.createDataFrame(texts, "source_id string, analytical_text string").write.parquet(f"{tmp_path}/source_documents.parquet")
+    rows = [tuple(r) for r in queries.p7_classes(spark, str(tmp_path)).collect()]
+    own = {"c", "d", "f", "g", "j", "k"}
+    assert sorted(rows) == sorted([("a", "a", 0), ("b", "a", 0), ("e", "e", 0), ("l", "e", 0), ("h", "h", 0), ("i", "h", 0), *((x, x, 0) for x in own)])
