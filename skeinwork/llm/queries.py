@@ -12,7 +12,7 @@ from skeinwork.llm.mixing import Mixture, mix
 from skeinwork.llm.joining import attach
 from skeinwork.llm.neardup import NearDuplicates, equal_words, near_duplicates
 from skeinwork.llm.pii import detect, learn
-from skeinwork.llm.sampling import frozen_sample
+from skeinwork.llm.sampling import frozen_sample, keep_sample
 from skeinwork.llm.topn import top_n
 from skeinwork.operators.records import current_rows, norm_name
 from skeinwork.plans.common import REVIEW, table
@@ -58,9 +58,12 @@ def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for the review sample, which arrived as one batch."""
+    """The same for the review sample. Its rows have no time of arrival, so the batches are kept in a ledger below the
+    folder that the setting ``spark.skeinwork.ledgers`` names: ids that are new there are one more batch. Without the
+    setting nothing is kept and the table counts as the first batch."""
     review = table(spark, sf_dir, REVIEW)
-    picks = frozen_sample(review.select("source_id", F.lit(REVIEW).alias("batch")), "source_id", "batch", RATE, "review-v1")
+    root = spark.conf.get("spark.skeinwork.ledgers", None)
+    picks = keep_sample(f"{root.rstrip('/')}/{REVIEW}" if root else None, review, "source_id", RATE, "review-v1")
     return review.join(picks, "source_id").select("source_id", "label_travel", "label_saas_opportunity", "label_app_opportunity", "false_positive_category").distinct()
 
 

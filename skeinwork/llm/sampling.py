@@ -6,11 +6,15 @@ Later batches have their own picks, so the union only grows.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skeinwork.llm.joining import attach
 from skeinwork.operators.ranged import run_positions
+from skeinwork.scratch import materialize
 
 
 def salted_hash(identifier: str, salt: str) -> Column:
@@ -42,3 +46,27 @@ def extend_sample(ledger: DataFrame, arrivals: DataFrame, identifier: str, batch
     new = new.withColumn("batch", F.lit(batch_name))
     picks = frozen_sample(new, identifier, "batch", rate, salt).select(identifier, F.lit(True).alias("_p"))
     return new.join(picks, identifier, "left").select(identifier, "batch", F.coalesce("_p", F.lit(False)).alias("picked"))
+
+
+def keep_sample(folder: str | None, arrivals: DataFrame, identifier: str, rate: float, salt: str) -> DataFrame:
+    """The picked ``identifier`` values of all batches so far, where ``folder`` holds the ledger, a folder of Parquet to
+    each batch. What the ledger does not know yet is added as one more batch, which shows only once it is written in full;
+    a batch that another run adds at the same time is an error. Without ``folder`` nothing is kept: all is the first batch.
+    """
+    spark = arrivals.sparkSession
+    schema = T.StructType([T.StructField(identifier, arrivals.schema[identifier].dataType), T.StructField("batch", T.StringType()), T.StructField("picked", T.BooleanType())])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    batches: list[str] = []
+    if folder:
+        files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(path(folder)):
+            batches = sorted(x.getPath().toString() for x in files.listStatus(path(folder)) if x.getPath().getName().startswith("batch-"))
+    ledger = spark.read.schema(schema).parquet(*batches) if batches else spark.createDataFrame([], schema)
+    name = f"batch-{len(batches):06}"
+    added = materialize(extend_sample(ledger, arrivals, identifier, name, rate, salt), "arrival")
+    if folder and not added.isEmpty():
+        staged, target = path(f"{folder}/_staged-{uuid.uuid4().hex}"), path(f"{folder}/{name}")
+        added.write.parquet(staged.toString())
+        if files.exists(target) or not files.rename(staged, target):
+            raise RuntimeError(f"{target} was added by another run")
+    return ledger.unionByName(added).filter("picked").select(identifier)

@@ -1,5 +1,8 @@
 """What a review found missing in the training-data operators."""
 
+from hashlib import md5
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from skeinwork.llm import pii, queries
@@ -52,3 +55,23 @@ def test_every_record_has_a_class(spark, tmp_path):
     rows = [tuple(r) for r in queries.p7_classes(spark, str(tmp_path)).collect()]
     own = {"c", "d", "f", "g", "j", "k"}
     assert sorted(rows) == sorted([("a", "a", 0), ("b", "a", 0), ("e", "e", 0), ("l", "e", 0), ("h", "h", 0), ("i", "h", 0), *((x, x, 0) for x in own)])
+
+
+def test_a_grown_review_table_keeps_every_pick(spark, tmp_path):
+    ids = [f"r{i:03}" for i in range(300)]
+
+    def as_one_batch(some):
+        return set(sorted(some, key=lambda i: md5(f"review-v1:{i}".encode()).hexdigest())[: ceil(round(0.1 * len(some), 9))])
+
+    early = next(ids[:n] for n in range(200, 300) if not as_one_batch(ids[:n]) <= as_one_batch(ids))
+    for name, some in (("early", early), ("grown", ids)):
+        rows = [(i, "0", "1", None, None) for i in some]
+        frame = spark.createDataFrame(rows, "source_id string, label_travel string, label_saas_opportunity string, label_app_opportunity string, false_positive_category string")
+        frame.write.parquet(f"{tmp_path}/{name}/{queries.REVIEW}.parquet")
+    spark.conf.set("spark.skeinwork.ledgers", f"{tmp_path}/ledgers")
+    try:
+        first, again, grown, last = ({r["source_id"] for r in queries.p5_review(spark, f"{tmp_path}/{name}").collect()} for name in ("early", "early", "grown", "grown"))
+    finally:
+        spark.conf.unset("spark.skeinwork.ledgers")
+    assert first == again == as_one_batch(early) and first < grown == last
+    assert len(grown) == len(first) + ceil(0.1 * (300 - len(early)))
