@@ -389,9 +389,11 @@ def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_pattern
     seeds = contexts.filter("kind IN ('title', 'given') AND length(form) > 1")
     seeds = seeds.groupBy(F.col("form").alias("word")).agg(F.max(F.expr("kind = 'given'")).alias("as_given"), F.max(F.expr("kind = 'title' AND length(form) > 2")).alias("as_family"))
     words = [tuple(r) for r in seeds.collect()]
-    shared = contexts.filter("kind = 'title'").filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", "")).groupBy("side", "pattern").agg(F.countDistinct("form").alias("forms"))
+    shared = contexts.filter("kind = 'title'").filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", ""))
     cues = {("l", cue) for cue in NAME_CUES}
-    patterns = [(r["side"], r["pattern"]) for r in shared.orderBy(F.desc("forms"), "side", "pattern").limit(most_patterns).collect()]
+    patterns = [(r["side"], r["pattern"]) for r in shared.select("side", "pattern").distinct().limit(most_patterns + 1).collect()]
+    if len(patterns) > most_patterns:
+        raise ValueError(f"more than {most_patterns} contexts of names; raise most_patterns")
     counted = _instances(docs, [*cues, *patterns], sorted({w for w, *_ in words}))
     # names are mostly written with capitals
     proper = F.sum("capital") * 2 >= F.sum("n")
@@ -436,10 +438,10 @@ class Knowledge:
     contexts: set[tuple[str, str]] = field(default_factory=set)
 
 
-def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_000, most_patterns: int = 2_000) -> Knowledge:
+def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_000, most_patterns: int = 300_000) -> Knowledge:
     """Learns from ``docs[text]``, null texts left out. The tables that come to the driver hold forms and name words, no
-    texts; beyond ``most_words`` words an error is raised rather than a name dropped. ``most_patterns`` contexts, those
-    with the most family names, are followed in the second pass."""
+    texts; beyond ``most_words`` words, or ``most_patterns`` contexts of names to follow in the second pass, an error is
+    raised rather than a name dropped."""
     rows = docs.select(F.col(text).alias("text")).filter("text IS NOT NULL AND text <> ''")
     contexts = _contexts(rows)
     scored = _score_forms(contexts, rounds).collect()

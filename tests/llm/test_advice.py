@@ -3,6 +3,7 @@
 from hashlib import md5
 from math import ceil
 
+import pytest
 from pyspark.sql import functions as F
 
 from skeinwork.llm import pii, queries
@@ -75,3 +76,9 @@ def test_a_grown_review_table_keeps_every_pick(spark, tmp_path):
         spark.conf.unset("spark.skeinwork.ledgers")
     assert first == again == as_one_batch(early) and first < grown == last
     assert len(grown) == len(first) + ceil(0.1 * (300 - len(early)))
+
+
+def test_contexts_beyond_the_bound_are_an_error(spark):
+    df = spark.createDataFrame([("We met Mr Kramberg near the lake, and Mrs Woltwitz sold us a boat.",)], "text string")
+    with pytest.raises(ValueError, match="most_patterns"):
+        pii.learn(df, "text", most_patterns=1)
