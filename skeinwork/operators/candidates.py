@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skeinwork.functions.text import collapse, has_term, is_bot, near, once, strip_links, tokens
 from skeinwork.packs import CandidatePack, DomainRules, RelevancePack
 
+# fixed values: how texts of bots begin
 BOT_STARTS = ("i am a bot", "this action was performed automatically", "sorry .+ your submission has been removed")
 
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.functions.text import collapse, is_bot, is_deleted, is_removed, once
 
+# fixed values: how texts of bots begin
 BOT_STARTS = ("i am a bot", "this action was performed automatically", "beep boop")
 
 
@@ -33,7 +34,8 @@ def clean_comments(raw: DataFrame, run_id: str = "clean") -> DataFrame:
 
 
 def clean_submissions(raw: DataFrame, run_id: str = "clean") -> DataFrame:
-    """``raw`` has ``title`` and ``selftext``; both, or the one that is there, make ``combined_text``."""
+    """``raw`` has ``title`` and ``selftext``; both, or the one that is there, make ``combined_text``. What a bot's text
+    begins with is looked for in the title, a blank and the text, none of them trimmed."""
     rows = latest(raw)
     rows = once(rows, title_clean=collapse(F.trim(F.coalesce("title", F.lit("")))), selftext_clean=collapse(F.trim(F.coalesce("selftext", F.lit("")))))
     both = F.concat("title_clean", F.lit("\n\n"), "selftext_clean")
@@ -42,14 +44,18 @@ def clean_submissions(raw: DataFrame, run_id: str = "clean") -> DataFrame:
         {
             "is_deleted": is_deleted(F.col("title")) | is_deleted(F.col("selftext")),
             "is_removed": is_removed(F.col("title")) | is_removed(F.col("selftext")),
-            "is_bot_like": is_bot(F.col("author"), F.col("selftext"), BOT_STARTS),
+            "is_bot_like": is_bot(F.col("author"), F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("selftext", F.lit(""))), BOT_STARTS),
         }
     ).withColumns({"text_length": F.length("combined_text").cast("long"), "language": F.lit(None).cast("string"), "raw_id": F.col("id"), "clean_run_id": F.lit(run_id)})
 
 
+def is_usable(text: str) -> Column:
+    """Whether enrichment looks at a clean row."""
+    return ~F.col("is_deleted") & ~F.col("is_removed") & ~F.col("is_bot_like") & (F.col("text_length") > 0) & (F.trim(F.col(text)) != "")
+
+
 def usable(clean: DataFrame, text: str) -> DataFrame:
-    """Rows that enrichment looks at."""
-    return clean.filter(~F.col("is_deleted") & ~F.col("is_removed") & ~F.col("is_bot_like") & (F.col("text_length") > 0) & (F.trim(F.col(text)) != ""))
+    return clean.filter(is_usable(text))
 
 
 def documents(comments: DataFrame, submissions: DataFrame) -> DataFrame:

@@ -2,30 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _first(rows: DataFrame, by: Sequence[str], most: int = 1) -> DataFrame:
+def _first(rows: DataFrame, by: Sequence[str], most: int) -> DataFrame:
     """The newest rows of each group, equal times by id; rank and cut become one group limit before the shuffle."""
     rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.col("created_at").desc_nulls_last(), F.col("source_id").asc_nulls_last()))
     return rows.withColumn("evidence_rank", rank).filter(F.col("evidence_rank") <= most)
 
 
+def _newest() -> Column:
+    """The newest row of a group as its evidence, equal times by id: an aggregate, combined before the shuffle."""
+    shown = F.struct("source_type", "source_id", "subreddit", "created_at", F.left("evidence_text", F.lit(300)).alias("evidence_snippet"))
+    order = F.struct(F.col("created_at").isNull(), -F.unix_micros(F.col("created_at").cast("timestamp")), F.col("source_id").isNull(), F.col("source_id"))
+    return F.min_by(shown, order).alias("best")
+
+
 def discovery(signals: DataFrame, kinds: Sequence[str], by: Sequence[str], most: int = 50) -> DataFrame:
-    """Counts of signals per ``by`` with their newest evidence. A null and an empty topic meet in the join of both; a null
-    community has counts but no evidence."""
+    """Counts of signals per ``by``, which names a topic, with their newest evidence. A null and an empty topic share their
+    evidence; a null community has counts but no evidence. Signals are read once."""
     rows = signals.filter(F.col("signal_type").isin(*kinds))
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("signal_count"))
-    best = _first(rows, by).select(*[F.col(c).alias(f"e_{c}") for c in by], "source_type", "source_id", "created_at", F.left("evidence_text", F.lit(300)).alias("evidence_snippet"))
-    same = F.lit(True)
-    for c in by:
-        left, right = (F.coalesce(c, F.lit("")), F.coalesce(f"e_{c}", F.lit(""))) if c == "topic_hint" else (F.col(c), F.col(f"e_{c}"))
-        same = same & (left == right)
-    joined = counts.join(best, same, "left").drop(*[f"e_{c}" for c in by])
-    return joined.orderBy(F.desc("signal_count"), *[F.col(c).asc_nulls_last() for c in by]).limit(most)
+    groups = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("signal_count"), _newest())
+    others = [c for c in by if c != "topic_hint"]
+    # one or two topics to a row: null and empty
+    met = groups.groupBy(*others, F.coalesce("topic_hint", F.lit("")).alias("_t")).agg(F.collect_list(F.struct("topic_hint", "signal_count", "best")).alias("_g"))
+    known = F.lit(True)
+    for c in others:
+        known = known & F.col(c).isNotNull()
+    evidence = F.transform("_g", lambda g: g["best"])
+    met = met.withColumn("_e", F.when(known, evidence).otherwise(F.slice(F.transform("_g", lambda g: F.nullif(g["best"], g["best"])), 1, 1)))
+    joined = met.select(*others, "_e", F.explode("_g").alias("_c")).select(*others, "_c.topic_hint", "_c.signal_count", F.explode("_e").alias("_b"))
+    out = joined.select(*by, "signal_count", *[F.col(f"_b.{c}") for c in ("source_type", "source_id", "created_at", "evidence_snippet")])
+    return out.orderBy(F.desc("signal_count"), *[F.col(c).asc_nulls_last() for c in by]).limit(most)
 
 
 def pain_points(signals: DataFrame, most: int = 50) -> DataFrame:
@@ -36,20 +47,17 @@ def app_ideas(signals: DataFrame, most: int = 50) -> DataFrame:
     return discovery(signals, ["feature_request", "recommendation_request", "workaround"], ["subreddit", "signal_type", "topic_hint", "matched_pattern"], most)
 
 
-def _ranked(rows: DataFrame, kind: str, category: str, label: str, most: int) -> DataFrame:
-    named = rows.withColumns({"result_category": F.coalesce(category, F.lit("unclassified")), "result_label": F.col(label)})
-    by = ["result_category", "result_label"]
-    top = named.groupBy(*by).agg(F.count(F.lit(1)).alias("result_count")).orderBy(F.desc("result_count"), *by).limit(most)
-    best = _first(named, by).select(*by, "source_type", "source_id", "subreddit", "created_at", F.left("evidence_text", F.lit(300)).alias("evidence_snippet"))
-    return top.join(best, by, "left").select(F.lit(kind).alias("result_kind"), *by, "result_count", "source_type", "source_id", "subreddit", "created_at", "evidence_snippet")
-
-
-def entities_and_workarounds(entities: DataFrame, signals: DataFrame, most_entities: int = 20, most_workarounds: int = 10) -> DataFrame:
-    """The most frequent entities and workarounds with evidence. The overall rank is an order with a limit per kind, not a
-    window over one partition."""
-    a = _ranked(entities, "entity", "entity_type", "normalized_entity", most_entities)
-    b = _ranked(signals.filter("signal_type = 'workaround'"), "workaround", "topic_hint", "matched_pattern", most_workarounds)
-    return a.unionByName(b).orderBy("result_kind", F.desc("result_count"), "result_category", "result_label")
+def entities_and_workarounds(mentions: DataFrame, most: Mapping[str, int]) -> DataFrame:
+    """The most frequent results of each kind with their newest evidence, from ``enrich.mentions``: ``most`` rows of each
+    ``result_kind``. Rows are read and counted once; the rank is one over groups, of which there are as many as rules."""
+    by = ["result_kind", "result_category", "result_label"]
+    groups = mentions.groupBy(*by).agg(F.count(F.lit(1)).alias("result_count"), _newest())
+    rank = F.row_number().over(Window.partitionBy("result_kind").orderBy(F.desc("result_count"), "result_category", "result_label"))
+    limit = F.lit(0)
+    for kind, n in most.items():
+        limit = F.when(F.col("result_kind") == kind, n).otherwise(limit)
+    top = groups.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
+    return top.select(*by, "result_count", *[F.col(f"best.{c}") for c in ("source_type", "source_id", "subreddit", "created_at", "evidence_snippet")]).orderBy("result_kind", F.desc("result_count"), "result_category", "result_label")
 
 
 def evidence_groups(signals: DataFrame, kind: str, most_groups: int, examples: int) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +20,18 @@ from pyspark.sql import types as T
 from skeinwork.scratch import materialize
 
 
+#: bytes of rows, as Spark estimates them, to a range partition, and the most partitions
+PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
+
+
 def partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions for a shuffle of ``df``: the session's number, and more where that would leave them large. The size is
+    Spark's estimate, for joins (which it multiplies) at most some times what is read."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    own, *read = [int(str(p.stats().sizeInBytes())) for p in (plan, *(leaves.apply(i) for i in range(leaves.size())))]
+    size = min(own, 8 * sum(read))
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, size // PARTITION_BYTES))
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
@@ -106,104 +115,97 @@ def run_positions(
 
 
 def run_states(df: DataFrame, keys: Sequence[str], value: str, flags: Sequence[str] = (), n: int | None = None) -> DataFrame:
-    """Per key: ``n_rows``, ``n_values`` (non-null), ``n_distinct``, the sums of the boolean ``flags``, and ``low`` and
-    ``high``, the two middle values (equal for an odd number; null without values).
+    """Per key: ``n_rows``, ``n_values`` (non-null), ``n_distinct``, the sums of ``flags`` (booleans or whole numbers), and
+    ``low`` and ``high``, the two middle values (equal for an odd number; null without values).
 
-    Exact for keys of any size. Null keys form a key; a null flag counts as false; an empty table gives no rows.
+    Exact for keys of any size. Rows of one key and value are counted before the sort, by partition and then together, so
+    that any number of ties is one weighted row. Null keys form a key; a null flag counts as 0; an empty table gives no
+    rows. Names that begin with ``_sk_`` belong to the operator.
     """
     flags = list(flags)
-    source = df.select(
-        *keys, F.col(value).alias("_sk_v"), *[F.coalesce(F.col(f).cast("long"), F.lit(0)).alias(f) for f in flags], _key_hash(keys).alias("_sk_k")
-    )
-    sorted_ = _ranged(source, keys, [F.col("_sk_v").asc_nulls_last()], n)
+    rows = df.select(*keys, F.col(value).alias("_sk_v"), *[F.coalesce(F.col(f).cast("long"), F.lit(0)).alias(f) for f in flags])
+    counted = rows.groupBy(*keys, "_sk_v").agg(F.count(F.lit(1)).alias("_sk_n"), *[F.sum(f).alias(f) for f in flags])
+    sorted_ = _ranged(counted.withColumn("_sk_k", _key_hash(keys)), keys, [F.col("_sk_v").asc_nulls_last()], n or partitions(rows))
     vtype = df.schema[value].dataType
-    long = T.LongType()
     numbers = ["_sk_pid", "_sk_run", "_sk_idx", "n_rows", "n_values", "n_distinct", *flags]
     schema = T.StructType(
-        [
-            T.StructField("_sk_edge", T.BooleanType()),
-            *[T.StructField(c, long) for c in numbers],
-            *[T.StructField(c, vtype) for c in ("low", "high", "_sk_first", "_sk_last")],
-            *[df.schema[k] for k in keys],
-        ]
+        [T.StructField("_sk_edge", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in numbers], *[T.StructField(c, vtype) for c in ("low", "high")], *[T.StructField(k, df.schema[k].dataType) for k in keys]]
     )
-
-    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a range partition is bounded by the sampled quantiles
-        kept = [b for b in batches if b.num_rows]
-        if not kept:
-            return
-        table = pa.Table.from_batches(kept).combine_chunks()
-        pid = TaskContext.get().partitionId()
-        k = table.column("_sk_k").to_numpy()
-        v = table.column("_sk_v").combine_chunks()
-        if isinstance(v, pa.ChunkedArray):
-            v = v.chunk(0)
-        rows = len(k)
-        new = np.concatenate(([True], k[1:] != k[:-1]))
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, rows))
+    names = [f.name for f in schema.fields]
+
+    def states(parts: list[pa.RecordBatch], pid: int, first: int, ends: bool) -> Iterator[pa.RecordBatch]:
+        """Of whole runs, numbered from ``first`` on; with ``ends`` the last one may go on in the next partition."""
+        table = pa.Table.from_batches(parts).combine_chunks()
+        k, weight, v = table.column("_sk_k").to_numpy(), table.column("_sk_n").to_numpy(), pa.concat_arrays(table.column("_sk_v").chunks)
+        start = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+        runs = start.size
         valid = v.is_valid().to_numpy(zero_copy_only=False)
-        fresh = np.concatenate(([True], ~_equal_neighbours(v))) | new
-        values = np.add.reduceat(valid.astype(np.int64), start)
-        distinct = np.add.reduceat((valid & fresh).astype(np.int64), start)
-        runs = len(start)
-        edge = np.zeros(runs, bool)
-        edge[[0, -1]] = True
+        counts = np.where(valid, weight, 0)
+        values, distinct = np.add.reduceat(counts, start), np.add.reduceat(valid.astype(np.int64), start)
+        upto = np.cumsum(counts)
+        base = upto[start] - counts[start]
         none = values == 0
+        edge = np.zeros(runs, bool)
+        edge[0], edge[-1] = first == 0, ends or (first == 0 and runs == 1)
 
-        def at(index: np.ndarray) -> pa.Array:
-            return v.take(pa.array(np.where(none, 0, index), mask=none))
+        def at(place: np.ndarray) -> pa.Array:
+            return v.take(pa.array(np.where(none, 0, np.searchsorted(upto, base + place, "right")), mask=none))
 
-        low, high = start + np.maximum(values - 1, 0) // 2, start + np.minimum(values // 2, np.maximum(values - 1, 0))
-        number = [np.full(runs, pid), np.arange(runs), np.full(runs, -1), size, values, distinct]
+        last = np.maximum(values - 1, 0)
+        number = [np.full(runs, pid), np.arange(first, first + runs), np.full(runs, -1), np.add.reduceat(weight, start), values, distinct]
         number += [np.add.reduceat(table.column(f).to_numpy(), start) for f in flags]
-        columns = [pa.array(edge), *[pa.array(x, pa.int64()) for x in number]]
-        columns += [at(low), at(high), at(start), at(start + np.maximum(values - 1, 0))]
-        columns += [table.column(c).combine_chunks().take(pa.array(start)) for c in keys]
-        out = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-        names = [f.name for f in schema.fields]
-        yield pa.RecordBatch.from_arrays(out, names=names)
-        # the values of runs that may go on in a neighbouring partition, by place
-        for r in sorted({0, runs - 1}):
-            for begin in range(0, int(values[r]), 65536):
-                many = min(65536, int(values[r]) - begin)
-                part = v.slice(int(start[r]) + begin, many)
-                fill = [np.full(many, pid), np.full(many, r), np.arange(begin, begin + many)]
-                cols = [pa.nulls(many, pa.bool_()), *[pa.array(x, pa.int64()) for x in fill]]
-                cols += [pa.nulls(many, pa.int64())] * (3 + len(flags))
-                cols += [part, pa.nulls(many, v.type), pa.nulls(many, v.type), pa.nulls(many, v.type)]
-                cols += [pa.nulls(many, table.schema.field(c).type) for c in keys]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+        columns = [pa.array(edge), *[pa.array(x, pa.int64()) for x in number], at(last // 2), at(np.minimum(values // 2, last))]
+        yield pa.RecordBatch.from_arrays([*columns, *[pa.concat_arrays(table.column(c).chunks).take(pa.array(start)) for c in keys]], names=names)
+        # the values of runs that may go on in a neighbouring partition: place and weight
+        for r in np.flatnonzero(edge):
+            for begin in range(int(start[r]), int(start[r] + distinct[r]), 65536):
+                stop = min(begin + 65536, int(start[r] + distinct[r]))
+                many = stop - begin
+                cols = [np.full(many, pid), np.full(many, first + r), upto[begin:stop] - counts[begin:stop] - base[r], counts[begin:stop]]
+                cols = [pa.nulls(many, pa.bool_()), *[pa.array(x, pa.int64()) for x in cols], *[pa.nulls(many, pa.int64())] * (2 + len(flags))]
+                yield pa.RecordBatch.from_arrays([*cols, v.slice(begin, many), pa.nulls(many, v.type), *[pa.nulls(many, table.schema.field(c).type) for c in keys]], names=names)
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # only the run that is not over yet is held
+        pid = TaskContext.get().partitionId()
+        held: list[pa.RecordBatch] = []
+        last, run = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k = batch.column("_sk_k").to_numpy(zero_copy_only=False)
+            new = np.flatnonzero(np.concatenate(([last is not None and k[0] != last], k[1:] != k[:-1])))
+            last = k[-1]
+            if not new.size:
+                held.append(batch)
+                continue
+            whole = [b for b in (*held, batch.slice(0, new[-1])) if b.num_rows]
+            yield from states(whole, pid, run, False)
+            run += new.size
+            held = [batch.slice(new[-1])]
+        if held:
+            yield from states(held, pid, run, True)
 
     table = materialize(sorted_.mapInArrow(local, schema), "states")
-    states = table.filter(F.col("_sk_idx") == -1)
+    states_ = table.filter(F.col("_sk_idx") == -1)
     sums = ["n_rows", "n_values", "n_distinct", *flags]
-    whole = states.filter(~F.col("_sk_edge")).select(*keys, *sums, "low", "high")
+    whole = states_.filter(~F.col("_sk_edge")).select(*keys, *sums, "low", "high")
     # at most two states per partition from here on
     by_key = Window.partitionBy(_key_hash(keys))
-    in_order = by_key.orderBy("_sk_pid", "_sk_run")
-    with_values = F.col("n_values") > 0
-    edges = states.filter("_sk_edge").withColumns(
-        {
-            "_sk_before": F.coalesce(F.sum("n_values").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-            "_sk_total": F.sum("n_values").over(by_key),
-            "_sk_prev": F.last(F.when(with_values, F.col("_sk_last")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)),
-        }
-    )
-    again = F.coalesce((F.col("_sk_prev") == F.col("_sk_first")).cast("long"), F.lit(0))
-    stitched = edges.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums if c != "n_distinct"], F.sum(F.col("n_distinct") - again).alias("n_distinct"))
+    before = F.sum("n_values").over(by_key.orderBy("_sk_pid", "_sk_run").rowsBetween(Window.unboundedPreceding, -1))
+    edges = states_.filter("_sk_edge").withColumns({"_sk_before": F.coalesce(before, F.lit(0)), "_sk_total": F.sum("n_values").over(by_key)})
+    stitched = edges.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
 
     def middle(rank: Column, name: str) -> DataFrame:
         place = rank - F.col("_sk_before")
         spots = edges.filter((F.col("_sk_total") > 0) & (place >= 0) & (place < F.col("n_values"))).select(
             *[F.col(k).alias(f"_sk_key{i}") for i, k in enumerate(keys)], F.col("_sk_pid").alias("_sk_p"), F.col("_sk_run").alias("_sk_r"), place.alias("_sk_i")
         )
-        values = table.filter(F.col("_sk_idx") >= 0).select("_sk_pid", "_sk_run", "_sk_idx", F.col("low").alias(name))
+        values = table.filter(F.col("_sk_idx") >= 0).select("_sk_pid", "_sk_run", "_sk_idx", "n_rows", F.col("low").alias(name))
         # one spot per key that meets a boundary: at most two per partition
-        return values.join(
-            F.broadcast(spots), (F.col("_sk_pid") == F.col("_sk_p")) & (F.col("_sk_run") == F.col("_sk_r")) & (F.col("_sk_idx") == F.col("_sk_i"))
-        ).select(*[F.col(f"_sk_key{i}") for i in range(len(keys))], name)
+        inside = (F.col("_sk_i") >= F.col("_sk_idx")) & (F.col("_sk_i") < F.col("_sk_idx") + F.col("n_rows"))
+        found = values.join(F.broadcast(spots), (F.col("_sk_pid") == F.col("_sk_p")) & (F.col("_sk_run") == F.col("_sk_r")) & inside)
+        return found.select(*[F.col(f"_sk_key{i}") for i in range(len(keys))], name)
 
     for rank, name in ((F.floor((F.col("_sk_total") - 1) / 2), "low"), (F.floor(F.col("_sk_total") / 2), "high")):
         found = middle(rank, name)
@@ -212,8 +214,3 @@ def run_states(df: DataFrame, keys: Sequence[str], value: str, flags: Sequence[s
             same_key = same_key & F.col(k).eqNullSafe(F.col(f"_sk_key{i}"))
         stitched = stitched.join(found, same_key, "left").drop(*[f"_sk_key{i}" for i in range(len(keys))])
     return whole.unionByName(stitched.select(*keys, *sums, "low", "high"))
-
-
-def _equal_neighbours(v: pa.Array) -> np.ndarray:
-    same = pc.equal(v.slice(1), v.slice(0, len(v) - 1))
-    return pc.fill_null(same, False).to_numpy(zero_copy_only=False)

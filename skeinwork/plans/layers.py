@@ -11,6 +11,8 @@ from skeinwork.packs import FORUM_ENRICH, EnrichPack
 from skeinwork.plans.common import table
 
 SPACE = "[ \\t\\n\\f\\r]+"
+# fixed values, stated here once more so that the SQL does not lean on the operators
+BOT_STARTS = ("i am a bot", "this action was performed automatically", "beep boop")
 
 
 def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,14 +89,14 @@ CLEAN_SQL = f"""{RAW_SQL},
 clean_comments AS (
   SELECT *, length(body_clean) AS text_length FROM (
     SELECT *, regexp_replace(trim(coalesce(body, '')), '{SPACE}', ' ', 'g') AS body_clean, {_gone("body", "deleted")} AS is_deleted, {_gone("body", "removed")} AS is_removed,
-      {_bot("author", "body", cleaning.BOT_STARTS)} AS is_bot_like FROM {_newest("raw_comments")})
+      {_bot("author", "body", BOT_STARTS)} AS is_bot_like FROM {_newest("raw_comments")})
 ),
 clean_submissions AS (
   SELECT *, length(combined_text) AS text_length FROM (
     SELECT *, CASE WHEN selftext_clean = '' THEN title_clean WHEN title_clean = '' THEN selftext_clean ELSE title_clean || chr(10) || chr(10) || selftext_clean END AS combined_text FROM (
       SELECT *, regexp_replace(trim(coalesce(title, '')), '{SPACE}', ' ', 'g') AS title_clean, regexp_replace(trim(coalesce(selftext, '')), '{SPACE}', ' ', 'g') AS selftext_clean,
         {_gone("title", "deleted")} OR {_gone("selftext", "deleted")} AS is_deleted, {_gone("title", "removed")} OR {_gone("selftext", "removed")} AS is_removed,
-        {_bot("author", "selftext", cleaning.BOT_STARTS)} AS is_bot_like FROM {_newest("raw_submissions")}))
+        {_bot("author", "coalesce(title, '') || ' ' || coalesce(selftext, '')", BOT_STARTS)} AS is_bot_like FROM {_newest("raw_submissions")}))
 ),
 docs AS (
   SELECT 'comment' AS source_type, id AS source_id, body_clean AS text, link_id, parent_id, author, subreddit, score, created_at, source_file, manifest_id, text_length, is_deleted, is_removed, is_bot_like FROM clean_comments

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skeinwork.functions.text import near, once, tokens
-from skeinwork.operators import candidates, enrich, marts
-from skeinwork.packs import FORUM_CANDIDATES, FORUM_RELEVANCE, DomainRules
+from skeinwork.operators import candidates, cleaning, enrich, marts
+from skeinwork.packs import FORUM_CANDIDATES, FORUM_ENRICH, FORUM_RELEVANCE, DomainRules
 from skeinwork.plans import layers, query_layer
 from skeinwork.plans.common import table
 from skeinwork.plans.layers import CLEAN_SQL, ENRICH_SQL, RAW_SQL, quoted
@@ -99,7 +99,7 @@ counts AS (SELECT CAST(created_at AS DATE) AS d, subreddit AS sub, {", ".join(f"
 SELECT b.d AS day, b.sub AS subreddit, submission_count, comment_count, unique_authors, median_score, {", ".join(f"coalesce({k}_count, 0) AS {k}_count" for k in _KINDS)}
 FROM base b LEFT JOIN counts c ON b.d = c.d AND b.sub = c.sub""")
 def metrics_daily(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.daily(layers.docs(spark, d), layers.signals(spark, d))
+    return enrich.daily(layers.docs(spark, d), FORUM_ENRICH)
 
 
 def _views(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -186,7 +186,8 @@ ON c.result_category = e.result_category AND c.result_label = e.result_label AND
 @query(f"""WITH {ENRICH_SQL}, workarounds AS (SELECT * FROM signals WHERE signal_type = 'workaround')
 {_ranked_sql("entity", "entities", "entity_type", "normalized_entity", 20)} UNION ALL {_ranked_sql("workaround", "workarounds", "coalesce(topic_hint, 'unclassified')", "matched_pattern", 10)}""")
 def mart_entity_workaround(spark: SparkSession, d: str) -> DataFrame:
-    return marts.entities_and_workarounds(layers.entities(spark, d), layers.signals(spark, d))
+    found = enrich.mentions(cleaning.usable(layers.docs(spark, d), "text"), FORUM_ENRICH, "workaround")
+    return marts.entities_and_workarounds(found, {"entity": 20, "workaround": 10})
 
 
 @query(f"""WITH {ENRICH_SQL}, chosen AS (SELECT *, coalesce(topic_hint, 'unclassified') AS topic FROM signals WHERE signal_type = 'feature_request'),

@@ -26,7 +26,7 @@ def p1_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return descendants(_tree(spark, sf_dir).nodes(with_path=True)).select(F.col("ancestor").alias("ancestor_id"), F.col("id").alias("source_id"))
+    return descendants(_tree(spark, sf_dir).nodes()).select(F.col("ancestor").alias("ancestor_id"), F.col("id").alias("source_id"))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

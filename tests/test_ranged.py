@@ -56,3 +56,27 @@ def test_states_without_values(spark):
     got = {r["k"]: r for r in run_states(df, ["k"], "v", n=3).collect()}
     assert got["a"]["n_values"] == 0 and got["a"]["low"] is None and got["b"]["n_distinct"] == 1
     assert run_states(spark.createDataFrame([], "k string, v string"), ["k"], "v").count() == 0
+
+
+def test_a_million_ties_are_no_heavier_than_one(spark):
+    ties = spark.range(1_000_000).select(F.lit("hot").alias("k"), F.when(F.col("id") % 4 > 0, F.lit(1)).alias("v"), (F.col("id") % 2).alias("f"))
+    others = spark.range(3000).select(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")).alias("k"), F.col("id").alias("v"), F.lit(1).alias("f"))
+    df = ties.withColumn("v", F.col("v").cast("long")).unionByName(others).repartition(6)
+    got = {r["k"]: r for r in run_states(df, ["k"], "v", ["f"], n=5).collect()}
+    hot = got["hot"]
+    assert (hot["n_rows"], hot["n_values"], hot["n_distinct"], hot["f"], hot["low"], hot["high"]) == (1_000_000, 750_000, 1, 500_000, 1, 1)
+    assert len(got) == 51 and (got["k7"]["n_rows"], got["k7"]["low"], got["k7"]["high"]) == (60, 1457, 1507)
+
+
+def test_a_key_over_all_partitions(spark):
+    df = spark.range(5000).select(F.lit("a").alias("k"), (F.col("id") % 1000).alias("v"))
+    got = run_states(df, ["k"], "v", n=6).collect()
+    assert [(r["n_rows"], r["n_distinct"], r["low"], r["high"]) for r in got] == [(5000, 1000, 499, 500)]
+
+
+def test_partitions_follow_the_size(spark, monkeypatch):
+    from skeinwork.operators import ranged
+
+    assert ranged.partitions(spark.range(10)) == 4
+    monkeypatch.setattr(ranged, "PARTITION_BYTES", 800)
+    assert ranged.partitions(spark.range(1000)) == 10

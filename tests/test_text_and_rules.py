@@ -55,6 +55,12 @@ def test_submissions_join_title_and_text(spark):
     assert {r["id"]: r["combined_text"] for r in cleaning.clean_submissions(raw).collect()} == {"1": "T\n\nx", "2": "T", "3": "x"}
 
 
+def test_bots_among_submissions_show_in_the_title(spark):
+    raw = spark.createDataFrame([("1", "u", "I am a bot, weekly thread", "x"), ("2", "u", "Question", "I am a bot"), ("3", "u", "", "i am a bot"), ("4", "u", "Beep boop", None), ("5", None, None, "I am a bot"), ("6", "a_bot", None, None)], "id string, author string, title string, selftext string").withColumns({"ingested_at": F.lit("r"), "source_file": F.lit("f")})
+    # the blank between title and text stands before a text without title
+    assert {r["id"] for r in cleaning.clean_submissions(raw).filter("is_bot_like").collect()} == {"1", "4", "6"}
+
+
 def test_signals_need_a_topic(spark):
     pack = packs.EnrichPack("t", (packs.SignalRule("comparison", "vs", True), packs.SignalRule("pain", "slow")), (packs.EntityRule("a", "visa"), packs.EntityRule("b", "visa"), packs.EntityRule("b", "ferry")))
     df = spark.createDataFrame([("1", "x vs y, slow"), ("2", "visa vs ferry"), ("3", None), ("4", "ferry slow slow")], "source_id string, text string")
@@ -89,7 +95,7 @@ def test_scan(spark):
 def test_scores_are_exact_at_the_limit(spark):
     # 0.42 + 0.08 + 0.10 - 0.20 is below 0.40 in floating point
     near_rule = packs.Proximity("n", ("visa",), ("embassy",), 50, 0.08)
-    pack = packs.RelevancePack("t", (0.8, 0.6, 0.4), (packs.DomainRules("d", 0.0, {"pain": 0.42}, context={"forever": 0.1}, penalties={"embassy": 0.2}, proximity=(near_rule,)), packs.DomainRules("e", 0.1, {"pain": 0.5, "travel": 0.9}, required_groups=("money",))))
+    pack = packs.RelevancePack("t", (0.8, 0.6, 0.4), (packs.DomainRules("d", 0.0, {"pain": 0.42}, context={"forever": 0.1}, penalties={"embassy": 0.2}, proximity=(near_rule,)), packs.DomainRules("e", 0.1, {"pain": 0.5, "travel": 0.9, "money": 0.2}, required_groups=("money",))))
     got = {(r["source_id"], r["domain"]): r for r in candidates.score(candidates.scan(candidate_rows(spark), CANDIDATES), pack).collect()}
     assert (got["outside", "d"]["relevance_score"], got["outside", "d"]["decision"], got["outside", "d"]["relevance_tier"]) == (0.4, "evaluate", "C")
     assert got["outside", "e"]["relevance_score"] == 1.0 and got["prior", "e"]["relevance_score"] == 0.0
