@@ -26,11 +26,11 @@ PARTITION_BYTES, MOST_PARTITIONS = 64 << 20, 100_000
 
 def partitions(df: DataFrame) -> int:
     """Partitions for a shuffle of ``df``: the session's number, and more where that would leave them large. The size is
-    Spark's estimate, for joins (which it multiplies) at most some times what is read."""
+    Spark's estimate, for joins (which it multiplies) at most some times what is read; rows from code have none."""
     plan = df._jdf.queryExecution().optimizedPlan()
     leaves = plan.collectLeaves()
     own, *read = [int(str(p.stats().sizeInBytes())) for p in (plan, *(leaves.apply(i) for i in range(leaves.size())))]
-    size = min(own, 8 * sum(read))
+    size = min(own, 8 * sum(r for r in read if r < 1 << 60))
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, size // PARTITION_BYTES))
 
 
