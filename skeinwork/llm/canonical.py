@@ -19,22 +19,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skeinwork.llm.joining import attach
 from skeinwork.llm.pairs import pairs_within
 from skeinwork.scratch import materialize
 
-# fixed values: letters of other scripts, and the Latin letters they look like
+# fixed values: letters of other scripts, and the Latin letters (or digit) that they look like; what no rule below gives
 LOOKALIKES = (
     # Cyrillic
-    ("АВЕЅІЈКМНОРСТУХԚԜҮ", "ABESIJKMHOPCTYXQWY"),
-    ("аеѕіјорсухһԁԛԝүѵӏ", "aesijopcyxhdqwyvl"),
-    # Greek
+    ("АВЕЅІЈКМНОРСТУХԚԜҮӀԌѴЗ", "ABESIJKMHOPCTYXQWYIGV3"),
+    ("аеѕіјорсухһкԁԛԝүѵӏ", "aesijopcyxhkdqwyvl"),
+    # Greek and Coptic
     ("ΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ABEZHIKMNOPTYXCJ"),
     ("αινορυϲϳ", "aivopucj"),
-    # Armenian, Cherokee, Latin of phonetics
-    ("օսոհ", "ounh"),
-    ("ᎪᏴᏟᎬᏀᎻᎫᏦᏞᎷᏢᏚᎢᏙᏔᏃ", "ABCEGHJKLMPSTVWZ"),
-    ("ɑɡᴄᴏᴠᴡᴢꜱ", "agcovwzs"),
+    ("ⲀⲂⲈⲌⲎⲒⲔⲘⲚⲞⲢⲤⲦⲨⲬⲟⲣⲥⲭ", "ABEZHIKMNOPCTYXopcx"),
+    # Armenian
+    ("օսոհցյզՕՏՍ", "ounhgjqOSU"),
+    # Cherokee
+    ("ᎪᏴᏟᎬᏀᎻᎫᏦᏞᎷᏢᏚᎢᏙᏔᏃᎠᎡᏒᎳᎽᏂᏏ", "ABCEGHJKLMPSTVWZDRRWYhb"),
+    # Lisu
+    ("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"),
+    # Canadian syllabics
+    ("ᗅᗷᑕᗞᖴᕼᒍᒪᑭᖇᑌᐯ᙭", "ABCDFHJLPRUVX"),
+    # Latin of phonetics; hyphens as wide as the common one (a dash is longer, as a reader sees)
+    ("ɑɡǃ", "ag!"),
+    ("‐‑", "--"),
 )
+# fixed values: names in the character database that tell of a letter's shape; the letter is the last part
+SHAPES = ("LATIN LETTER SMALL CAPITAL ", "LATIN SMALL LETTER DOTLESS ", "MODIFIER LETTER SMALL CAPITAL ")
 # fixed values: white space that is no space separator is left alone; these have no width of their own
 INVISIBLE = "­͏؜ᅟᅠ឴឵᠋᠌᠍᠎ㅤ︀ﾠ"
 SHOWN_COMPAT = {"<super>", "<sub>", "<circle>", "<square>", "<fraction>"}
@@ -54,8 +65,11 @@ def prototypes() -> dict[int, str]:
         kind = unicodedata.category(char)
         if kind in ("Cn", "Co", "Cs"):
             continue
+        name = unicodedata.name(char, "")
         if kind == "Zs":
             table[code] = " "
+        elif name.startswith(SHAPES) and len(name.rpartition(" ")[2]) == 1:
+            table[code] = name[-1].lower()
         elif kind == "Cf" and not 0xE0020 <= code <= 0xE007F:
             table[code] = ""
         elif form := unicodedata.decomposition(char):
@@ -110,6 +124,20 @@ def same_look(df: DataFrame, identifier: str, text: str) -> DataFrame:
     return pairs_within(rows.join(mixed, "form"), "form", identifier, differ="chars")
 
 
+def look_classes(df: DataFrame, identifier: str, text: str) -> DataFrame:
+    """One row per row: ``<identifier>``, ``class_id`` (the smallest identifier of those whose texts look the same) and
+    ``n_forms``, the number of ways in which these texts are written. Null texts and texts that show nothing are a class by
+    themselves, of no form. Identifiers are expected to be unique and not null; other columns are ignored."""
+    rows = df.select(F.col(identifier), _digests(F.col(text)).alias("d")).select(identifier, "d.form", "d.chars")
+    rows = materialize(rows, "looks")
+    shown = rows.filter("form IS NOT NULL")
+    # copies of one text are one row here
+    written = shown.groupBy("form", "chars").agg(F.min(identifier).alias("_least"), F.count(F.lit(1)).alias("_n"))
+    heads = materialize(written.groupBy("form").agg(F.min("_least").alias("class_id"), F.count(F.lit(1)).alias("n_forms"), F.sum("_n").alias("_n")), "heads")
+    known = attach(shown, heads, ["form"], identifier, heads.count(), "_n").select(identifier, "class_id", "n_forms")
+    return known.unionByName(rows.filter("form IS NULL").select(identifier, F.col(identifier).alias("class_id"), F.lit(0).cast("long").alias("n_forms")))
+
+
 def unify(df: DataFrame, text: str, name: str = "canonical_text") -> DataFrame:
     """``df`` with the consistent form of ``text`` as column ``name``."""
     return df.withColumn(name, canonical(F.col(text)))

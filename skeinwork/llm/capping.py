@@ -6,7 +6,9 @@ position, the start of its contributor is subtracted, and positions from the cap
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ def cap(
     """
     if (most is None) == (share is None):
         raise ValueError("give either most or share")
-    most = most if most is not None else int(share * df.count())
+    most = most if most is not None else math.floor(Fraction(str(share)) * df.count())
     limited = F.lit(True) if limited is None else F.coalesce(limited, F.lit(False))
     places = ranked(df.filter(limited), contributor, quality, tie)
     kept = places.withColumn("kept", F.col("position") < most).drop("position")

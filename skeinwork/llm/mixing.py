@@ -8,9 +8,11 @@ After its last block a source starts again, as often as it may.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from fractions import Fraction
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skeinwork.llm.joining import attach
@@ -18,7 +20,15 @@ from skeinwork.llm.sampling import salted_hash
 from skeinwork.operators.ranged import run_positions
 from skeinwork.scratch import materialize
 
+#: the golden ratio's inverse, and the fraction of its multiple by 2 ** 20, so that large slot numbers lose no digits
 GOLDEN = 0.6180339887498949
+GOLDEN_20 = float(math.fmod(Fraction(math.isqrt(5 << 200), 1 << 100) * (1 << 19) - (1 << 19), 1))
+
+
+def _point(slot: Column) -> Column:
+    """The fraction of ``slot`` times the golden ratio."""
+    whole = F.shiftright(slot, 20) * F.lit(GOLDEN_20) + slot.bitwiseAND((1 << 20) - 1) * F.lit(GOLDEN)
+    return whole - F.floor(whole)
 
 
 @dataclass
@@ -28,19 +38,19 @@ class Mixture:
 
 
 def mix(
-    docs: DataFrame, weights: DataFrame, identifier: str, source: str, tokens: str, total: int | None = None, slots: int = 20_000, salt: str = "mix"
+    docs: DataFrame, weights: DataFrame, identifier: str, source: str, tokens: str, total: int | None = None, block: int = 1024, salt: str = "mix"
 ) -> Mixture:
     """A mixture of ``docs[identifier, source, tokens]`` by ``weights[source, target_share, max_repeats]``.
 
     ``picks`` has ``identifier, source, copy, slot, tokens``: a document occurs with ``copy`` 0, 1, ... below its
     source's ``max_repeats``. ``report`` has a row per listed source: target and actual share, tokens, documents and
     the most copies. ``total`` is the size in tokens; by default the largest for which all sources that have
-    documents reach their share. A smaller source than its share of a given ``total`` gives all it may.
+    documents reach their share. A slot is a block of ``block`` tokens, whatever the total: a mixture of any size is mixed as
+    finely. A smaller source than its share of a given ``total`` gives all it may.
 
     Shares are counted among the listed sources that have documents. Documents without tokens and those of unlisted or
     null sources are left out; a repeated row of ``weights`` counts once; a share or a repeat count that is null or not
-    positive leaves a source out. The table of weights is small by definition (one row per source) and is broadcast
-    after a check of its size.
+    positive leaves a source out. The table of weights has one row per source; it is joined by a size that is checked.
     """
     listed = weights.select(F.col("source").alias("_s"), F.col("target_share").cast("double").alias("_w"), F.col("max_repeats").cast("long").alias("_r")).distinct()
     usable = listed.filter("_s IS NOT NULL AND _w > 0 AND _r > 0")
@@ -53,23 +63,28 @@ def mix(
     if total is None:
         total = have.agg(F.min(F.col("_have") * F.col("_r") / (F.col("_w") / share_sum))).first()[0] or 0
     total = int(total)
-    block = max(1, total // slots)
     many = -(-total // block) if total else 0
-    # stretches of the cumulative weights, in order of name
+    # stretches of the cumulative weights, in order of name: one row per source that is listed and has documents
     order = Window.orderBy("_s")
-    stretches = have.select(
-        "_s", "_have", "_r", (F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, 0)) / share_sum).alias("_to"),
+    stretches = materialize(have.select(
+        "_s", (F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, 0)) / share_sum).alias("_to"),
         F.coalesce(F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, -1)) / share_sum, F.lit(0.0)).alias("_from"),
         (F.row_number().over(order) == F.count(F.lit(1)).over(Window.partitionBy())).alias("_last"),
-    )
-    if n_listed > 100_000:
-        raise ValueError("more than 100,000 sources of weights")
-    point = F.col("id") * F.lit(GOLDEN) - F.floor(F.col("id") * F.lit(GOLDEN))
-    drawn = docs.sparkSession.range(many).select(F.col("id").alias("_slot"), point.alias("_u"))
-    drawn = drawn.join(F.broadcast(stretches), (F.col("_u") >= F.col("_from")) & ((F.col("_u") < F.col("_to")) | F.col("_last")))
-    ranked = run_positions(drawn.select("_s", "_slot"), ["_s"], [F.col("_slot").asc()]).select("_s", "_slot", F.col("position").alias("_rank"))
-    # the stream of a source: its documents in order, pass after pass; a document is in the block in which it begins
-    passes = placed.join(F.broadcast(have.select("_s", "_have", "_r")), "_s").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_r") - 1)))
+    ), "stretches")
+    # points and stretches meet in bins of the unit interval, so a slot is held against the few sources of its bin
+    bins = max(1024, 4 * n_listed)
+    last_bin = F.when(F.col("_last"), bins - 1).otherwise(F.least(F.floor(F.col("_to") * bins), F.lit(bins - 1)))
+    binned = stretches.withColumn("_bin", F.explode(F.sequence(F.least(F.floor(F.col("_from") * bins), F.lit(bins - 1)), last_bin)))
+    drawn = docs.sparkSession.range(many).select(F.col("id").alias("_slot"), _point(F.col("id")).alias("_u"))
+    drawn = drawn.withColumn("_bin", F.least(F.floor(F.col("_u") * bins), F.lit(bins - 1)))
+    drawn = attach(drawn, binned, ["_bin"], "_slot", bins + n_listed).filter((F.col("_u") >= F.col("_from")) & ((F.col("_u") < F.col("_to")) | F.col("_last"))).select("_s", "_slot")
+    drawn = materialize(drawn, "slots")
+    ranked = materialize(run_positions(drawn, ["_s"], [F.col("_slot").asc()]).select("_s", "_slot", F.col("position").alias("_rank")), "ranks")
+    # the stream of a source: its documents in order, pass after pass, as many passes as its slots ask for; a document is
+    # in the block in which it begins
+    asked = ranked.groupBy("_s").agg((F.max("_rank") + 1).alias("_slots"))
+    needed = have.join(asked, "_s").select("_s", "_have", F.least(F.col("_r"), F.ceil(F.col("_slots") * block / F.col("_have"))).alias("_passes"))
+    passes = attach(placed, needed, ["_s"], identifier, n_listed).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes") - 1)))
     passes = passes.withColumn("_rank", F.floor((F.col("copy") * F.col("_have") + F.col("prefix")) / block))
     picks = passes.join(ranked, ["_s", "_rank"]).select(identifier, F.col("_s").alias(source), F.col("copy").cast("int").alias("copy"), F.col("_slot").alias("slot"), F.col("_t").alias(tokens))
     picks = materialize(picks, "picks")

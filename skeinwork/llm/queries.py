@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skeinwork.llm.canonical import same_look, unify
+from skeinwork.llm.canonical import look_classes, same_look, unify
 from skeinwork.llm.capping import cap
 from skeinwork.llm.encoding import count_tokens, encode
 from skeinwork.llm.mixing import Mixture, mix
@@ -47,24 +47,38 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_n(items, ["domain", "subreddit", "year", "month"], "relevance_score", "source_id", 3).select("domain", "source_id")
 
 
+def _ledger(spark: SparkSession, name: str) -> str | None:
+    """Where arrivals are kept: below the folder that the setting ``spark.skeinwork.ledgers`` names."""
+    root = spark.conf.get("spark.skeinwork.ledgers", None)
+    return f"{root.rstrip('/')}/{name}" if root else None
+
+
 def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The sample of records with the latest scoring of each domain. A batch is the UTC day of a record's first scoring;
-    a day is closed, and sampled, as soon as a scoring of a later day is there."""
+    """The sample of records with the latest scoring of each domain. A batch is the UTC day of a record's first scoring.
+
+    With a ledger a record stays in the batch in which it arrived, whatever scorings come later or turn up with an older
+    time, and every record is in a batch at once. Without one the batches are made from the table alone: then a day
+    counts as soon as a scoring of a later day shows that it is over, so that later scorings change no pick."""
     scores = table(spark, sf_dir, "scores")
     arrivals = scores.select("source_id", F.to_date("scored_at").alias("batch"))
-    open_day = arrivals.agg(F.max("batch")).first()[0]
-    picks = frozen_sample(arrivals, "source_id", "batch", RATE, "scores-v1").filter(F.col("batch") < F.lit(open_day))
-    return _latest_scores(spark, sf_dir).join(picks.select("source_id", "batch"), "source_id").select("source_id", "domain", "relevance_score", F.date_format("batch", "yyyy-MM-dd").alias("batch"))
+    if ledger := _ledger(spark, "scores"):
+        picks = keep_sample(ledger, arrivals, "source_id", RATE, "scores-v1", "batch")
+    else:
+        open_day = arrivals.agg(F.max("batch")).first()[0]
+        picks = frozen_sample(arrivals, "source_id", "batch", RATE, "scores-v1").filter(F.col("batch") < F.lit(open_day))
+        picks = picks.select("source_id", F.date_format("batch", "yyyy-MM-dd").alias("batch"))
+    return _latest_scores(spark, sf_dir).join(picks, "source_id").select("source_id", "domain", "relevance_score", "batch")
 
 
 def p5_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for the review sample. Its rows have no time of arrival, so the batches are kept in a ledger below the
-    folder that the setting ``spark.skeinwork.ledgers`` names: ids that are new there are one more batch. Without the
-    setting nothing is kept and the table counts as the first batch."""
+    """The same for the review sample. Its rows have no time of arrival, so only a ledger tells batches apart: ids that are
+    new there are one more batch. Without one the table counts as the first batch."""
     review = table(spark, sf_dir, REVIEW)
-    root = spark.conf.get("spark.skeinwork.ledgers", None)
-    picks = keep_sample(f"{root.rstrip('/')}/{REVIEW}" if root else None, review, "source_id", RATE, "review-v1")
-    return review.join(picks, "source_id").select("source_id", "label_travel", "label_saas_opportunity", "label_app_opportunity", "false_positive_category").distinct()
+    if ledger := _ledger(spark, REVIEW):
+        picks = keep_sample(ledger, review, "source_id", RATE, "review-v1")
+    else:
+        picks = frozen_sample(review.select("source_id", F.lit("").alias("batch")), "source_id", "batch", RATE, "review-v1")
+    return review.join(picks.select("source_id"), "source_id").select("source_id", "label_travel", "label_saas_opportunity", "label_app_opportunity", "false_positive_category").distinct()
 
 
 def _personal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -121,7 +135,8 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> Mixture:
-    sized = count_tokens(table(spark, sf_dir, "documents"), "text", ["doc_id", "source"])
+    # the range sort reads its input twice, the tokenizer is to run once
+    sized = materialize(count_tokens(table(spark, sf_dir, "documents"), "text", ["doc_id", "source"]), "sizes")
     return mix(sized, table(spark, sf_dir, "source_weights"), "doc_id", "source", "n_tokens")
 
 
@@ -137,6 +152,11 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return same_look(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with the class of the texts that look like its own."""
+    return look_classes(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def p10_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unify(table(spark, sf_dir, "documents"), "text").select("doc_id", "canonical_text")
 
@@ -155,6 +175,7 @@ QUERIES = {
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
     "p10_found": p10_found,
+    "p10_classes": p10_classes,
     "p10_texts": p10_texts,
 }
 

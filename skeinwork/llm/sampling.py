@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from skeinwork.llm.joining import attach
 from skeinwork.operators.ranged import run_positions
-from skeinwork.scratch import materialize
 
 
 def salted_hash(identifier: str, salt: str) -> Column:
@@ -39,34 +38,36 @@ def frozen_sample(arrivals: DataFrame, identifier: str, batch: str, rate: float,
     return limited.filter(F.col("position") < F.ceil(F.round(F.lit(float(rate)) * F.col("_size"), 9))).select(identifier, batch)
 
 
-def extend_sample(ledger: DataFrame, arrivals: DataFrame, identifier: str, batch_name: str, rate: float, salt: str) -> DataFrame:
+def extend_sample(ledger: DataFrame, arrivals: DataFrame, identifier: str, batch_name: str, rate: float, salt: str, batch: str | None = None) -> DataFrame:
     """The rows that a new arrival adds to ``ledger``: ``identifier``, ``batch`` and ``picked`` of every identifier that the
-    ledger does not know yet, as one new batch. Appending them leaves all earlier picks as they are."""
-    new = arrivals.select(identifier).filter(F.col(identifier).isNotNull()).distinct().join(ledger.select(identifier), identifier, "left_anti")
-    new = new.withColumn("batch", F.lit(batch_name))
+    ledger does not know yet. They are one new batch or, where a column ``batch`` is named, a new batch for each of its
+    (smallest) values, ``<batch_name>/<value>``; rows without one are left for a later arrival. Appending them leaves all
+    earlier picks as they are."""
+    named = F.concat(F.lit(f"{batch_name}/"), F.col(batch).cast("string")) if batch else F.lit(batch_name)
+    new = arrivals.select(identifier, named.alias("batch")).filter(F.col(identifier).isNotNull() & F.col("batch").isNotNull()).groupBy(identifier).agg(F.min("batch").alias("batch"))
+    new = new.join(ledger.select(identifier), identifier, "left_anti")
     picks = frozen_sample(new, identifier, "batch", rate, salt).select(identifier, F.lit(True).alias("_p"))
     return new.join(picks, identifier, "left").select(identifier, "batch", F.coalesce("_p", F.lit(False)).alias("picked"))
 
 
-def keep_sample(folder: str | None, arrivals: DataFrame, identifier: str, rate: float, salt: str) -> DataFrame:
-    """The picked ``identifier`` values of all batches so far, where ``folder`` holds the ledger, a folder of Parquet to
-    each batch. What the ledger does not know yet is added as one more batch, which shows only once it is written in full;
-    a batch that another run adds at the same time is an error. Without ``folder`` nothing is kept: all is the first batch.
-    """
+def keep_sample(folder: str, arrivals: DataFrame, identifier: str, rate: float, salt: str, batch: str | None = None) -> DataFrame:
+    """``identifier`` and ``batch`` of the picks of all arrivals so far. ``folder`` holds the ledger, a folder of Parquet to
+    each arrival. What the ledger does not know yet is added by ``extend_sample``, and shows only once it is written in
+    full; an arrival that another run adds at the same time is an error."""
     spark = arrivals.sparkSession
     schema = T.StructType([T.StructField(identifier, arrivals.schema[identifier].dataType), T.StructField("batch", T.StringType()), T.StructField("picked", T.BooleanType())])
     path = spark._jvm.org.apache.hadoop.fs.Path
-    batches: list[str] = []
-    if folder:
-        files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(path(folder)):
-            batches = sorted(x.getPath().toString() for x in files.listStatus(path(folder)) if x.getPath().getName().startswith("batch-"))
-    ledger = spark.read.schema(schema).parquet(*batches) if batches else spark.createDataFrame([], schema)
-    name = f"batch-{len(batches):06}"
-    added = materialize(extend_sample(ledger, arrivals, identifier, name, rate, salt), "arrival")
-    if folder and not added.isEmpty():
-        staged, target = path(f"{folder}/_staged-{uuid.uuid4().hex}"), path(f"{folder}/{name}")
-        added.write.parquet(staged.toString())
-        if files.exists(target) or not files.rename(staged, target):
-            raise RuntimeError(f"{target} was added by another run")
-    return ledger.unionByName(added).filter("picked").select(identifier)
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    known = sorted(x.getPath().toString() for x in files.listStatus(path(folder)) if x.getPath().getName().startswith("batch-")) if files.exists(path(folder)) else []
+    ledger = spark.read.schema(schema).parquet(*known) if known else spark.createDataFrame([], schema)
+    name = f"batch-{len(known):06}"
+    staged, target = path(f"{folder}/_staged-{uuid.uuid4().hex}"), path(f"{folder}/{name}")
+    extend_sample(ledger, arrivals, identifier, name, rate, salt, batch).write.parquet(staged.toString())
+    added = spark.read.schema(schema).parquet(staged.toString())
+    if added.isEmpty():
+        files.delete(staged, True)
+        return ledger.filter("picked").select(identifier, "batch")
+    if files.exists(target) or not files.rename(staged, target):
+        files.delete(staged, True)
+        raise RuntimeError(f"{target} was added by another run")
+    return spark.read.schema(schema).parquet(*known, target.toString()).filter("picked").select(identifier, "batch")
