@@ -16,13 +16,14 @@ from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skeinwork.scratch import materialize
+from skeinwork.scratch import materialize, release
 
 # fixed values: seeds
 ID_CUES = ["ssn", "social security", "passport", "nino", "national insurance", "ni number", "identity card", "id card", "national id", "driving licence", "driver's licence", "driver's license", "license number", "licence number", "tax id", "taxpayer", "cpf"]
@@ -34,6 +35,8 @@ NAME_CUES = ["my name is", "regards,", "sincerely,", "signed:", "signed by", "at
 CUE_WEIGHT = 10
 #: what a pair with capitals of which nothing is known counts against a context; one in lower case counts 1
 UNKNOWN = 0.5
+#: entries that a task counts before it hands them on
+MOST_HELD = 200_000
 #: share from which a context, or a word, is taken for one of names
 GOOD = 0.5
 
@@ -58,13 +61,16 @@ LETTERED = regex.compile(rf"(?<![\w-])(?!ID\b|NO\b)[A-Z]{{1,3}}[- ]?{DIGITS}(?:[
 PLAIN = regex.compile(rf"(?<![\w.,/#@$£€¥-])\+?{DIGITS}(?:-?[A-Z](?!\w))?(?!\w)")
 #: a house number and what goes with it: behind the number, or before it
 BEHIND = regex.compile(rf"(?<![\w.,$£€¥/-])(\d{{1,5}})[A-Za-z]?\s({WORD})\s({WORD})(?!\w)")
+HOUSE = regex.compile(rf"\d{{1,5}}[A-Za-z]?\s{WORD}\s{WORD}(?!\w)")
 BEFORE = regex.compile(rf"(?ri)(?<!\w)(?:(calle|via|rua|avenida|plaza)\s{WORD}|{WORD}?(stra(?:ss|ß)e|gasse|weg|platz)|((?:p\.?\s?o\.?\s?)?box|postfach|apartado))\s")
 FLAT = regex.compile(r"(?ri)(?<!\w)(?:flat|apt|apartment|unit|suite)\.?\s\d{1,4}\w?,?\s")
+BACK, AHEAD = regex.compile(r"(?r)\S{1,100}"), regex.compile(r"\S{1,100}")
 TITLED = regex.compile(rf"\.?\s({WORD})")
 #: a name by its form alone: given name, initial and family name
 FULL = regex.compile(r"(?<!\w)(\p{Lu}\p{L}+)\s\p{Lu}\.\s(\p{Lu}\p{L}+)(?!\w)")
 PAIR = regex.compile(rf"[^\w]{{0,3}}({WORD}\.?)(?:(,\s)|\s(?:\p{{L}}\.\s)?)({WORD})(?!\w)")
 PAIR_BEFORE = regex.compile(rf"(?r)(?<!\w)({WORD}\.?)(?:(,\s)|\s(?:\p{{L}}\.\s)?)({WORD})[^\w]{{1,3}}")
+RUNS = regex.compile(r"[^\W_]+")
 CAP = {"phone": "[PHONE]", "email": "[EMAIL]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "name": "[NAME]"}
 
 
@@ -91,30 +97,42 @@ def _alone(text: str, start: int, end: int) -> bool:
     return not (start and (text[start - 1].isalnum() or text[start - 1] == "_")) and not (end < len(text) and (text[end].isalnum() or text[end] == "_"))
 
 
+def _before(low: str, start: int, many: int) -> list[str]:
+    """The last ``many`` words before ``start``, in order. A word is at most 100 characters here, so that a text without
+    blanks is not read again for each of its numbers; items themselves may be of any length."""
+    words: list[str] = []
+    for m in BACK.finditer(low, 0, start):
+        words.append(m.group())
+        if len(words) == many:
+            break
+    return words[::-1]
+
+
 def _left(low: str, start: int, many: int) -> list[str]:
     """The words before, of the same sentence; ``^`` for its start."""
-    words = low[max(0, start - 48) : start].split()[-many:]
+    words = _before(low, start, many)
     for i in range(len(words) - 1, -1, -1):
         if words[i][-1] in ".!?" and words[i] not in SHORT:
             return ["^", *words[i + 1 :]]
-    return ["^", *words] if len(words) < many and start <= 48 else words
+    return ["^", *words] if len(words) < many else words
 
 
 def _right(text: str, low: str, end: int, many: int) -> list[str]:
     """The words after, of the same sentence. Capitalised ones that follow directly are passed over, as they vary."""
     if end < len(low) and low[end] in ".!?":
         return ["$"]
-    at = end
-    words = low[end : end + 64].split()
-    shown = text[end : end + 64].split()
-    while len(words) > 1 and shown[0][0].isupper() and at < len(low):
-        if words[0][-1] in ".!?":
-            return ["$"]
-        del words[0], shown[0]
-    words = words[:many]
-    for i, word in enumerate(words):
+    words: list[str] = []
+    for m in AHEAD.finditer(low, end):
+        word = m.group()
+        if not words and text[m.start()].isupper() and m.end() < len(low):
+            if word[-1] in ".!?":
+                return ["$"]
+            continue
+        words.append(word)
         if word[-1] in ".!?":
-            return [*words[: i + 1], "$"]
+            return [*words, "$"]
+        if len(words) == many:
+            break
     return words
 
 
@@ -155,7 +173,7 @@ def _marked(text: str, low: str) -> tuple[list[tuple[int, int]], list[tuple[int,
     emails = []
     for place in places:
         begin = place - 1 if place and text[place - 1].isspace() and text[place] != " " else place
-        local = LOCAL.match(text, max(0, begin - 96), begin)
+        local = LOCAL.match(text, 0, begin)
         domain = DOMAIN.match(text, begin)
         if local and domain and local.end() == begin:
             emails.append((local.start(), domain.end()))
@@ -191,14 +209,14 @@ def _number_at(text: str, start: int, floor: int) -> regex.Match | None:
 
 def _house_at(text: str, start: int, floor: int) -> tuple[str, int, int] | None:
     """Form, start and end of what may be a house with its number at ``start``."""
-    if m := BEFORE.match(text, max(floor, start - 40), start):
+    if m := BEFORE.match(text, floor, start):
         if number := re.compile(r"\d{1,6}(?!\d)").match(text, start):
             street, suffix, box = m.groups()
             form = f"{street.lower()} * n" if street else f"*{suffix.lower()} n" if suffix else f"{re.sub('[^a-z]', '', box.lower())} n"
             return form, m.start(), number.end()
     elif m := BEHIND.match(text, start):
         _, middle, head = m.groups()
-        flat = FLAT.match(text, max(floor, start - 24), start)
+        flat = FLAT.match(text, floor, start)
         return f"n {middle.lower()} *" if middle.lower() == "rue" else f"n * {head.lower()}", flat.start() if flat else start, m.end()
     return None
 
@@ -209,7 +227,7 @@ def _pieces(text: str, start: int, end: int, known: Callable[[str, str], bool])
     cuts = [i for i in range(start, end) if text[i] in " /"]
     for cut in [end, *reversed(cuts)]:
         if _digits(text[start:cut]) >= 6 and known("number", shape(text[start:cut])):
-            if cut == end or (cut == cuts[-1] and BEHIND.match(f" {text[cut + 1 : end + 64]}", 1)):
+            if cut == end or (cut == cuts[-1] and HOUSE.match(text, cut + 1)):
                 return [(start, cut)]
             if rest := _pieces(text, cut + 1, end, known):
                 return [(start, cut), *rest]
@@ -282,7 +300,7 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 for start, end, family in [*titled, *((b, e, family) for b, e, _, family in full)]:
                     found["title", family, "l", " ".join(_left(low, start, 2)), "name"] += 1
                     found["title", family, "r", " ".join(_right(text, low, end, 2)[:2]), "name"] += 1
-            if len(found) > 200_000:
+            if len(found) > MOST_HELD:
                 yield counted(found)
                 found.clear()
         if found:
@@ -294,7 +312,8 @@ def _contexts(docs: DataFrame) -> DataFrame:
 
 def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
     """``kind, form, type`` of the forms that belong to persons without a cue, after some rounds on the graph of forms and
-    patterns. Numbers of other forms, or of forms shared with things, count where a cue stands beside them."""
+    patterns. Numbers of other forms, or of forms shared with things, count where a cue stands beside them. A pattern and
+    a form are judged by shares with a constant added, so nothing hangs on the size of the corpus."""
     edges = contexts.filter("kind NOT IN ('title', 'given')")
     weight = edges.groupBy("kind", "form", "side", "pattern").agg(F.sum("n").alias("n"))
     totals = weight.filter("side = 'l'").groupBy("kind", "form").agg(F.sum("n").alias("all"))
@@ -302,23 +321,22 @@ def _score_forms(contexts: DataFrame, rounds: int) -> DataFrame:
     # a form is a seed of a type as far as it occurs as one
     scores = seeds.join(totals, ["kind", "form"]).select("kind", "form", "type", (F.col("m") / F.col("all")).alias("score"))
     base = scores.withColumnRenamed("score", "base")
+    variety = weight.groupBy("kind", "form", "side").agg(F.count(F.lit(1)).alias("contexts"))
     for _ in range(rounds):
         known = weight.join(scores, ["kind", "form"])
         mass = weight.groupBy("kind", "side", "pattern").agg(F.sum("n").alias("mass"))
         patterns = known.groupBy("kind", "side", "pattern", "type").agg(F.sum(F.col("n") * F.col("score")).alias("good")).join(mass, ["kind", "side", "pattern"])
         # a pattern met once or twice says little
         patterns = patterns.select("kind", "side", "pattern", "type", (F.col("good") / (F.col("mass") + 1)).alias("quality"))
-        # the better of the two sides counts; a form met once is not enough
-        support = weight.join(patterns, ["kind", "side", "pattern"]).groupBy("kind", "form", "side", "type").agg(F.sum(F.col("n") * F.col("quality")).alias("got"))
+        # each context counts once, as copies of a text repeat it; the better of the two sides counts
+        support = weight.join(patterns, ["kind", "side", "pattern"]).groupBy("kind", "form", "side", "type").agg(F.sum("quality").alias("got"))
+        support = support.join(variety, ["kind", "form", "side"]).withColumn("got", F.col("got") / (F.col("contexts") + F.lit(0.5)))
         support = support.groupBy("kind", "form", "type").agg(F.max("got").alias("got"))
-        support = support.join(totals, ["kind", "form"]).select("kind", "form", "type", (F.col("got") / (F.col("all") + 1)).alias("got"))
-        scores = support.join(base, ["kind", "form", "type"], "full").select("kind", "form", "type", F.greatest(F.coalesce("got", F.lit(0.0)), F.coalesce("base", F.lit(0.0))).alias("score"))
+        scores = support.join(base, ["kind", "form", "type"], "full").select("kind", "form", "type", F.coalesce("got", F.lit(0.0)).alias("got"), F.greatest(F.coalesce("got", F.lit(0.0)), F.coalesce("base", F.lit(0.0))).alias("score"))
         # forms that are known by now count in full
-        scores = materialize(scores.withColumn("score", F.when(F.col("score") >= 0.5, 1.0).otherwise(F.col("score"))), "forms")
-    best = scores.groupBy("kind", "form").agg(F.max(F.struct("score", "type")).alias("s"))
-    # copies of one text repeat a chance find; a form has to stand in several contexts
-    variety = weight.groupBy("kind", "form").agg(F.countDistinct("side", "pattern").alias("contexts"))
-    return best.filter("s.score >= 0.5").join(variety.filter("contexts >= 4"), ["kind", "form"]).select("kind", "form", F.col("s.type").alias("type"))
+        scores = materialize(scores.withColumn("score", F.when(F.col("score") >= GOOD, 1.0).otherwise(F.col("score"))), "forms")
+    best = scores.groupBy("kind", "form").agg(F.max(F.struct("score", "got", "type")).alias("s"))
+    return best.filter(F.col("s.score") >= GOOD).select("kind", "form", F.col("s.type").alias("type"))
 
 
 class _Pairs:
@@ -336,7 +354,7 @@ class _Pairs:
                 # a mark stands by itself, a word may follow a bracket or quotation mark
                 if start and (low[start - 1].isalnum() if pattern[0].isalnum() else not low[start - 1].isspace()) or (end < len(low) and low[end].isalnum() and pattern[-1].isalnum()):
                     continue
-                pair = PAIR.match(text, end) if side == "l" else PAIR_BEFORE.match(text, max(0, start - 60), start)
+                pair = PAIR.match(text, end) if side == "l" else PAIR_BEFORE.match(text, 0, start)
                 if pair:
                     yield side, pattern, pair
 
@@ -348,15 +366,127 @@ def _parts(pair: regex.Match) -> tuple[str, str] | None:
     return None if family[-1] == "." or (given[-1] == "." and len(given) > 2) else (given, family)
 
 
-def _instances(docs: DataFrame, patterns: list[tuple[str, str]], words: list[str]) -> DataFrame:
-    """Second pass: pairs of words in the contexts: ``side, pattern, given, family, n, capital``, and with side ``w`` how
-    often each of ``words`` stands in the texts (as ``family``), and how often with a capital."""
+@dataclass
+class Knowledge:
+    """What the corpus taught, as far as a task needs it: types of number and house forms that need no cue, words of names
+    and the contexts of names."""
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, known = _Pairs(patterns), _automaton(words)
+    forms: dict[tuple[str, str], str] = field(default_factory=dict)
+    givens: set[str] = field(default_factory=set)
+    families: set[str] = field(default_factory=set)
+    contexts: set[tuple[str, str]] = field(default_factory=set)
+
+    def add(self, what: str, a: str, b: str, value: str | None) -> None:
+        if what == "form":
+            self.forms[a, b] = value
+        elif what == "context":
+            self.contexts.add((a, b))
+        else:
+            (self.givens if what == "given" else self.families).add(a)
+
+
+KNOWN = "what string, a string, b string, value string"
+
+
+def _anchor(what: str, a: str, b: str) -> str:
+    """A run of letters and digits that a text must have for an entry to matter; empty if there is none to be named."""
+    if what == "form":
+        return b[4:] if b.startswith("n * ") else ""
+    return max(RUNS.findall(b if what == "context" else a), key=len, default="")
+
+
+def _taught(table: DataFrame, docs: DataFrame, text: str, make: Callable, schema: T.StructType | str, most: int) -> DataFrame:
+    """``docs`` through ``make(knowledge)``, which gives a function of a batch and one that ends the work, each returning
+    batches. A ``table`` of knowledge of up to ``most`` rows is broadcast. Of a larger one every chunk of the documents
+    gets the entries whose anchors its own texts hold: these are joined in Spark and meet the chunk in its task, so what a
+    task holds is bounded by its texts, and the result is the same."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) <= most:
+        known = Knowledge()
+        for r in rows:
+            known.add(*r)
+        shared = docs.sparkSession.sparkContext.broadcast(known)
+
+        def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            feed, finish = make(shared.value)
+            for batch in batches:
+                yield from feed(batch)
+            yield from finish()
+
+        return docs.mapInArrow(whole, schema)
+
+    del rows
+    parted = materialize(docs.withColumn("_chunk", F.spark_partition_id()), "chunks")
+
+    def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, str]] = set()
+        for batch in batches:
+            new = set()
+            for chunk, words in zip(batch.column("_chunk").to_pylist(), batch.column(text).to_pylist()):
+                new.update((chunk, w) for w in ("", *RUNS.findall(_lowered(words or ""))))
+            new -= seen
+            seen |= new
+            if len(seen) > MOST_HELD:
+                seen.clear()
+            if new:
+                yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in new], pa.int32()), pa.array([w for _, w in new], pa.string())], names=["_chunk", "_anchor"])
+
+    def anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            what, a, b = (batch.column(c).to_pylist() for c in ("what", "a", "b"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(list(map(_anchor, what, a, b)), pa.string())], names=[*batch.schema.names, "_anchor"])
+
+    asked = parted.select("_chunk", text).mapInArrow(anchors, "_chunk int, _anchor string").distinct()
+    held = asked.join(table.mapInArrow(anchored, f"{KNOWN}, _anchor string"), "_anchor").select("_chunk", F.struct("what", "a", "b", "value").alias("_known"))
+    doc = F.struct(*[F.col(c) for c in docs.columns]).alias("_doc")
+    both = held.withColumn("_doc", F.lit(None).cast(T.StructType(docs.schema.fields))).unionByName(parted.select("_chunk", F.lit(None).cast(f"struct<{', '.join(c.replace(' ', ': ') for c in KNOWN.split(', '))}>").alias("_known"), doc))
+    n = parted.agg(F.max("_chunk")).first()[0]
+    met = both.repartition((n or 0) + 1, "_chunk").sortWithinPartitions("_chunk", F.col("_doc").isNotNull())
+
+    def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, known, feed, finish = None, Knowledge(), None, None
+        for batch in batches:
+            chunks = batch.column("_chunk").to_numpy()
+            cuts = [0, *(np.flatnonzero(chunks[1:] != chunks[:-1]) + 1), batch.num_rows]
+            for b, e in zip(cuts, cuts[1:]):
+                if e == b:
+                    continue
+                if chunks[b] != chunk:
+                    if finish:
+                        yield from finish()
+                    chunk, known, feed, finish = chunks[b], Knowledge(), None, None
+                part = batch.slice(b, e - b)
+                for r in part.column("_known").drop_null().to_pylist():
+                    known.add(r["what"], r["a"], r["b"], r["value"])
+                if found := part.column("_doc").drop_null():
+                    if not feed:
+                        feed, finish = make(known)
+                    yield from feed(pa.RecordBatch.from_arrays(found.flatten(), names=[f.name for f in found.type]))
+        if finish:
+            yield from finish()
+
+    return met.mapInArrow(by_chunk, schema)
+
+
+def _instances(docs: DataFrame, table: DataFrame, most: int) -> DataFrame:
+    """Second pass: pairs of words in the contexts of ``table``: ``side, pattern, given, family, n, capital``, and with side
+    ``w`` how often each of its words stands in the texts (as ``family``), and how often with a capital."""
+
+    def make(known: Knowledge) -> tuple[Callable, Callable]:
+        pairs, words = _Pairs(known.contexts), _automaton(known.families)
         found: Counter = Counter()
         capital: Counter = Counter()
-        for batch in batches:
+
+        def finish() -> list[pa.RecordBatch]:
+            if not found:
+                return []
+            numbers = [pa.array(list(found.values()), pa.int64()), pa.array([capital[k] for k in found], pa.int64())]
+            out = pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in zip(*found)], *numbers], names=["side", "pattern", "given", "family", "n", "capital"])
+            found.clear()
+            capital.clear()
+            return [out]
+
+        def feed(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
             for text in batch.column("text").to_pylist():
                 low = _lowered(text)
                 for side, pattern, pair in pairs(text, low):
@@ -365,42 +495,42 @@ def _instances(docs: DataFrame, patterns: list[tuple[str, str]], words: list[str
                         key = side, pattern, given.lower(), family.lower()
                         found[key] += 1
                         capital[key] += given[0].isupper() and family[0].isupper()
-                for last, word in known.iter(low) if known else ():
+                for last, word in words.iter(low) if words else ():
                     start = last - len(word) + 1
                     if _alone(text, start, last + 1):
                         key = "w", "", "", word
                         found[key] += 1
                         capital[key] += text[start].isupper()
-        if found:
-            numbers = [pa.array(list(found.values()), pa.int64()), pa.array([capital[k] for k in found], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.string()) for c in zip(*found)], *numbers], names=["side", "pattern", "given", "family", "n", "capital"])
+            return finish() if len(found) > MOST_HELD else []
 
-    rows = docs.select("text").mapInArrow(work, "side string, pattern string, given string, family string, n long, capital long")
+        return feed, finish
+
+    rows = _taught(table, docs.select("text"), "text", make, "side string, pattern string, given string, family string, n long, capital long", most)
     return materialize(rows.groupBy("side", "pattern", "given", "family").agg(F.sum("n").alias("n"), F.sum("capital").alias("capital")), "instances")
 
 
-def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_patterns: int) -> tuple[DataFrame, DataFrame, set[tuple[str, str]]]:
-    """Given names and family names, from titles, full names and the contexts that these share with others, and the
-    contexts that are good enough to make a name of what stands in them.
+def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most: int) -> DataFrame:
+    """Given names, family names and contexts of names as rows of knowledge: from titles, full names and the contexts that
+    these share with others.
 
     All tests are shares with a constant added, so that little evidence counts little but nothing hangs on the size of
     the table: of the pairs in a context those with a known part, of the pairs of a word the quality of their contexts.
     """
+    spark = docs.sparkSession
     seeds = contexts.filter("kind IN ('title', 'given') AND length(form) > 1")
-    seeds = seeds.groupBy(F.col("form").alias("word")).agg(F.max(F.expr("kind = 'given'")).alias("as_given"), F.max(F.expr("kind = 'title' AND length(form) > 2")).alias("as_family"))
-    words = [tuple(r) for r in seeds.collect()]
+    seeds = materialize(seeds.groupBy(F.col("form").alias("word")).agg(F.max(F.expr("kind = 'given'")).alias("as_given"), F.max(F.expr("kind = 'title' AND length(form) > 2")).alias("as_family")), "seeds")
     shared = contexts.filter("kind = 'title'").filter("pattern LIKE '% %' AND NOT pattern LIKE '%$'").withColumn("pattern", F.regexp_replace("pattern", "^\\^ ", ""))
-    cues = {("l", cue) for cue in NAME_CUES}
-    patterns = [(r["side"], r["pattern"]) for r in shared.select("side", "pattern").distinct().limit(most_patterns + 1).collect()]
-    if len(patterns) > most_patterns:
-        raise ValueError(f"more than {most_patterns} contexts of names; raise most_patterns")
-    counted = _instances(docs, [*cues, *patterns], sorted({w for w, *_ in words}))
+    cues = spark.createDataFrame([("l", cue) for cue in NAME_CUES], "side string, pattern string")
+    patterns = materialize(shared.select("side", "pattern").unionByName(cues).distinct(), "patterns")
+    none = F.lit(None).cast("string")
+    table = patterns.select(F.lit("context").alias("what"), F.col("side").alias("a"), F.col("pattern").alias("b"), none.alias("value"))
+    table = table.unionByName(seeds.select(F.lit("family").alias("what"), F.col("word").alias("a"), none.alias("b"), none.alias("value")))
+    counted = _instances(docs, table, most)
     # names are mostly written with capitals
     proper = F.sum("capital") * 2 >= F.sum("n")
-    lower = [r[0] for r in counted.filter("side = 'w' AND capital * 2 < n").select("family").collect()]
-    spark = docs.sparkSession
-    table = spark.createDataFrame([w for w in words if w[0] not in set(lower)], "word string, as_given boolean, as_family boolean")
-    givens, families = table.filter("as_given").select("word"), table.filter("as_family").select("word")
+    lower = counted.filter("side = 'w' AND capital * 2 < n").select(F.col("family").alias("word"))
+    named = seeds.join(lower, "word", "left_anti")
+    givens, families = named.filter("as_given").select("word"), named.filter("as_family").select("word")
     edges = counted.filter("side <> 'w'").filter(~F.col("given").isin(TITLES) & ~F.col("family").isin(TITLES))
     cue = F.when((F.col("side") == "l") & F.col("pattern").isin(NAME_CUES), CUE_WEIGHT).otherwise(0)
 
@@ -421,35 +551,42 @@ def _score_names(docs: DataFrame, contexts: DataFrame, rounds: int, most_pattern
         rated = rate()
         more = taken(rated, "given", "f = 1").filter("length(word) > 1 AND NOT word LIKE '%.'")
         near = taken(rated, "family", "g = 1 OR given LIKE '%.'").filter("length(word) > 2")
+        before = givens, families
         givens = materialize(givens.unionByName(more.select("word")).distinct(), "givens")
         families = materialize(families.unionByName(near.select("word")).distinct(), "families")
-    quality = {(r["side"], r["pattern"]): r["quality"] for r in rate().select("side", "pattern", "quality").distinct().collect()}
-    return givens, families, {p for p in {*cues, *patterns} if quality.get(p, CUE_WEIGHT / (CUE_WEIGHT + 1) if p in cues else 0) >= GOOD}
+        release(rated, *before)
+    # a cue that no pair was met beside keeps its own weight
+    unmet = F.when((F.col("side") == "l") & F.col("pattern").isin(NAME_CUES), CUE_WEIGHT / (CUE_WEIGHT + 1)).otherwise(0.0)
+    quality = rate().groupBy("side", "pattern").agg(F.max("quality").alias("quality"))
+    good = patterns.join(quality, ["side", "pattern"], "left").filter(F.coalesce("quality", unmet) >= GOOD)
+    out = good.select(F.lit("context").alias("what"), F.col("side").alias("a"), F.col("pattern").alias("b"), none.alias("value"))
+    for what, words in (("given", givens), ("family", families)):
+        out = out.unionByName(words.select(F.lit(what).alias("what"), F.col("word").alias("a"), none.alias("b"), none.alias("value")))
+    return out
 
 
 @dataclass
-class Knowledge:
-    """What the corpus taught: types of number and house forms that need no cue, words of names and the contexts of
-    names."""
+class Learnt:
+    """Knowledge as a table ``what, a, b, value``, of any size; ``most`` rows of it may be broadcast."""
 
-    forms: dict[tuple[str, str], str]
-    givens: set[str]
-    families: set[str]
-    contexts: set[tuple[str, str]] = field(default_factory=set)
+    table: DataFrame
+    most: int
+
+    def collect(self) -> Knowledge:
+        """All of it in one place: for small corpora and for looking at."""
+        known = Knowledge()
+        for r in self.table.collect():
+            known.add(*r)
+        return known
 
 
-def learn(docs: DataFrame, text: str, rounds: int = 4, most_words: int = 2_000_000, most_patterns: int = 300_000) -> Knowledge:
-    """Learns from ``docs[text]``, null texts left out. The tables that come to the driver hold forms and name words, no
-    texts; beyond ``most_words`` words, or ``most_patterns`` contexts of names to follow in the second pass, an error is
-    raised rather than a name dropped."""
+def learn(docs: DataFrame, text: str, rounds: int = 4, most: int = 500_000) -> Learnt:
+    """Learns from ``docs[text]``, null texts left out. Nothing is dropped or refused: up to ``most`` rows of what is learnt
+    are broadcast, and beyond that the documents are joined with it by chunk."""
     rows = docs.select(F.col(text).alias("text")).filter("text IS NOT NULL AND text <> ''")
     contexts = _contexts(rows)
-    scored = _score_forms(contexts, rounds).collect()
-    forms = {(r["kind"], r["form"]): r["type"] for r in scored}
-    givens, families, good = _score_names(rows, contexts, rounds, most_patterns)
-    if givens.count() + families.count() > most_words:
-        raise ValueError(f"more than {most_words} name words; raise most_words")
-    return Knowledge(forms, {r[0] for r in givens.collect()}, {r[0] for r in families.collect()}, good)
+    forms = _score_forms(contexts, rounds).select(F.lit("form").alias("what"), F.col("kind").alias("a"), F.col("form").alias("b"), F.col("type").alias("value"))
+    return Learnt(materialize(forms.unionByName(_score_names(rows, contexts, rounds, most)), "known"), most)
 
 
 class Finder:
@@ -468,9 +605,9 @@ class Finder:
             start, end = last - len(word) + 1, last + 1
             if not _alone(text, start, end):
                 continue
-            prior = self.before.match(text, max(0, start - 40), start)
+            prior = self.before.match(text, 0, start)
             if not prior or prior.group(1).lower() not in self.givens:
-                prior = self.initial.match(text, max(0, start - 3), start)
+                prior = self.initial.match(text, 0, start)
             if prior:
                 yield prior.start(), end
             elif (after := self.behind.match(text, end)) and after.group(1).lower() in self.givens:
@@ -506,18 +643,18 @@ class Finder:
         return out
 
 
-def detect(docs: DataFrame, text: str, known: Knowledge, keep: list[str], upto: str | None = None) -> DataFrame:
+def detect(docs: DataFrame, text: str, known: Learnt, keep: list[str], upto: str | None = None) -> DataFrame:
     """``keep``, ``pii_types`` (distinct types found) and ``redacted``, the text with typed placeholders.
 
     With ``upto``, a column with a length, only items that end within that many characters count and the text is cut
     there. A null text stays null and holds nothing, an empty one stays empty.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(known)
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("pii_types", T.ArrayType(T.StringType())), T.StructField("redacted", T.StringType())])
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(shared.value)
-        for batch in batches:
+    def make(knowledge: Knowledge) -> tuple[Callable, Callable]:
+        finder = Finder(knowledge)
+
+        def feed(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
             texts = batch.column(text).to_pylist()
             ends = batch.column(upto).to_pylist() if upto else [None] * len(texts)
             types, redacted = [], []
@@ -535,9 +672,11 @@ def detect(docs: DataFrame, text: str, known: Knowledge, keep: list[str], upto:
                     parts += [whole[at:b], CAP[t]]
                     at = e
                 redacted.append("".join([*parts, whole[at:]]))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(types, pa.list_(pa.string())), pa.array(redacted, pa.string())], names=schema.names)
+            return [pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(types, pa.list_(pa.string())), pa.array(redacted, pa.string())], names=schema.names)]
+
+        return feed, lambda: []
 
-    return docs.select(*dict.fromkeys([*keep, text, *([upto] if upto else [])])).mapInArrow(work, schema)
+    return _taught(known.table, docs.select(*dict.fromkeys([*keep, text, *([upto] if upto else [])])), text, make, schema, known.most)
 
 
-__all__ = ["CAP", "Finder", "Knowledge", "detect", "learn"]
+__all__ = ["CAP", "Finder", "Knowledge", "Learnt", "detect", "learn"]

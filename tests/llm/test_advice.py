@@ -12,7 +12,7 @@ from skeinwork.llm import pii, queries
 def found(spark, texts, extra=()):
     df = spark.createDataFrame([(f"t{i}", t) for i, t in enumerate([*texts, *extra])], "id string, text string")
     known = pii.learn(df, "text")
-    return known, [r["redacted"] for r in pii.detect(df.orderBy("id").limit(len(texts)) if not extra else df.filter(F.substring("id", 2, 9).cast("int") < len(texts)), "text", known, ["id"]).orderBy(F.substring("id", 2, 9).cast("int")).collect()]
+    return known.collect(), [r["redacted"] for r in pii.detect(df.orderBy("id").limit(len(texts)) if not extra else df.filter(F.substring("id", 2, 9).cast("int") < len(texts)), "text", known, ["id"]).orderBy(F.substring("id", 2, 9).cast("int")).collect()]
 
 
 def test_names_do_not_hang_on_the_size_of_the_table(spark):
@@ -78,7 +78,36 @@ def test_a_grown_review_table_keeps_every_pick(spark, tmp_path):
     assert len(grown) == len(first) + ceil(0.1 * (300 - len(early)))
 
 
-def test_contexts_beyond_the_bound_are_an_error(spark):
-    df = spark.createDataFrame([("We met Mr Kramberg near the lake, and Mrs Woltwitz sold us a boat.",)], "text string")
-    with pytest.raises(ValueError, match="most_patterns"):
-        pii.learn(df, "text", most_patterns=1)
+def test_more_knowledge_than_may_be_broadcast_gives_the_same(spark):
+    """Entries then come to each chunk of the documents by a join; one row is all that may be broadcast."""
+    from test_problems import letters
+
+    cases = letters(400)
+    df = spark.createDataFrame([(i, t) for i, t, _ in cases] + [("null", None), ("empty", "")], "id string, text string").repartition(5)
+    few, many = pii.learn(df, "text", most=1), pii.learn(df, "text")
+    assert few.collect() == many.collect() and len(many.collect().families) > 5
+    for upto in (None, "n"):
+        rows = df.withColumn("n", F.lit(70))
+        assert sorted(map(str, pii.detect(rows, "text", few, ["id"], upto).collect())) == sorted(map(str, pii.detect(rows, "text", many, ["id"], upto).collect()))
+
+
+def test_items_of_any_length():
+    finder = pii.Finder(pii.Knowledge({}, {"anna" * 30}, {"berg" * 30}, {("l", "wrote to")}))
+    local = "a" * 60 + "." + "b" * 64
+    for text, want in [
+        (f"Write to {local}@mail.example now", [f"{local}@mail.example"]),
+        (f"It was {'anna' * 30} {'berg' * 30} again", [f"{'anna' * 30} {'berg' * 30}"]),
+        (f"box at {'Lang' * 30}strasse 12 there", [f"{'Lang' * 30}strasse 12"]),
+        ("my passport " + "x" * 300 + " AB1234567", ["AB1234567"]),
+        (f"We wrote to {'Carl' * 30} {'Dorn' * 30} twice", [f"{'Carl' * 30} {'Dorn' * 30}"]),
+    ]:
+        assert [text[b:e] for b, e, _ in finder.items(text)] == want
+
+
+def test_a_rare_form_is_learnt_in_a_small_corpus_and_a_chance_one_not_in_a_large_one(spark):
+    calls = [f"Call me on +44 7700 90012{i} after six." for i in range(8)]
+    known, _ = found(spark, ["Call me on 555/0199/22 after six."], calls)
+    assert known.forms.get(("number", "ddd/dddd/dd")) == "phone"
+    others = [f"{w} 555/0{n}/22 {v} {w}." for n, w in enumerate(["part", "item", "lot", "code", "shelf", "gate", "page", "seat"], 100) for v in ("is", "was", "in", "of")]
+    known, _ = found(spark, ["Call me on 555/0199/22 after six."], calls + others)
+    assert ("number", "ddd/dddd/dd") not in known.forms

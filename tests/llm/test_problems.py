@@ -283,7 +283,7 @@ def test_personal_information(spark):
     assert hits > 0 and sum(misses.values()) <= 0.03 * hits and sum(extra.values()) <= 0.02 * hits, (hits, misses, extra)
     assert found["null"]["redacted"] is None and found["empty"]["redacted"] == "" and found["null"]["pii_types"] == []
     # a street type that is no seed was learnt from its contexts
-    assert known.forms.get(("house", "n * crescent")) == "address"
+    assert known.collect().forms.get(("house", "n * crescent")) == "address"
     text = next(t for _, t, k in cases if "email" in k)
     shown = next(r["redacted"] for r in found.values() if r["redacted"] and "[EMAIL]" in r["redacted"])
     assert "@mail" not in shown and "The queue was long." in shown and text
