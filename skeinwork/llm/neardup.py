@@ -5,8 +5,9 @@ Texts with equal sets form a class; classes are compared.
 1. All sets are counted into a sketch of a fixed number of counters. It gives one global order of word sequences, rare
    ones first. The order decides about cost only: any order gives the same result.
 2. Two sets that agree enough share a sequence among the first ones of both in that order (prefix filter). Sets that
-   share one meet in a tile, sorted by size. Tiles of many sets are cut into blocks, and pairs of blocks whose sizes are
-   too far apart to agree are never formed.
+   share one meet in a tile, sorted by size, in which a set meets only the band of sizes that may agree with its own.
+   Sequences that very many texts hold make no tiles: sets that have nothing rarer in common share two of them. Tiles of
+   many sets are cut into blocks, and pairs of blocks whose sizes are too far apart are never formed.
 3. In a tile, the bits in which two bitmap signatures differ bound the overlap from above. What passes is compared by
    exact intersection of the sorted arrays.
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from skeinwork.llm.joining import attach
 from skeinwork.llm.pairs import pairs_within
-from skeinwork.llm.shingles import STEP, Sets, mixed, shingle_sets
+from skeinwork.llm.shingles import ODD, STEP, Sets, mixed, shingle_sets
 from skeinwork.operators.ranged import partitions
 from skeinwork.scratch import materialize
 
@@ -40,6 +41,8 @@ ENTRY = np.dtype([("id", "<i8"), ("sig", "<u8", SIGNATURE), ("size", "<i4"), ("i
 BLOCK_SET = np.dtype([("id", "<i8"), ("sig", "<u8", SIGNATURE), ("size", "<i4"), ("many", "<u4")])
 BLOCK_KEY = np.dtype([("high", "<u4"), ("low", "<u2")])
 TILE = 8192
+#: counted so often, a sequence makes no tile by itself
+HEAVY = 4096
 #: word sequences of the corpus to a bucket; a part of them, those of the prefixes, is sent there
 SEQUENCES = 8_000_000
 AT_ONCE = 1 << 20
@@ -76,11 +79,23 @@ def _texts(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.Re
             yield part, part.column(text).to_pylist()
 
 
-def _class_ids(sets: Sets) -> np.ndarray:
-    """64 bits of the set, as its identity."""
+def _class_ids(sets: Sets) -> tuple[np.ndarray, pa.Array]:
+    """128 bits of each set as its identity, and the first 64 of them, by which postings name it."""
     if not sets.rows.size:
-        return np.empty(0, np.int64)
-    return mixed(np.add.reduceat(mixed(sets.values) | np.uint64(1), sets.offsets[:-1])).view(np.int64)
+        return np.empty(0, np.int64), pa.array([], pa.binary())
+    both = np.empty((sets.rows.size, 2), "<u8")
+    for i, seed in enumerate((np.uint64(0), ODD)):
+        both[:, i] = mixed(np.add.reduceat(mixed(sets.values ^ seed) | np.uint64(1), sets.offsets[:-1]))
+    return both[:, 0].astype(np.uint64).view(np.int64), pa.Array.from_buffers(pa.binary(16), sets.rows.size, [None, pa.py_buffer(both.tobytes())]).cast(pa.binary())
+
+
+def _pair_keys(values: np.ndarray, probe: int, index: int, heavy: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of two sequences each, for a set whose sequences ``values`` are in order and heavy from place ``heavy`` on, and
+    whether they are keys of the shorter prefix. Sets that share no light sequence of their prefixes share two heavy ones
+    of the prefixes that are longer by one, so heavy sequences need no tiles of their own."""
+    first, second = np.triu_indices(min(probe + 1, values.size) - heavy, 1)
+    first, second = first + heavy, second + heavy
+    return mixed((values[first] * ODD) ^ mixed(values[second])), (first < index) & (second < index + 1)
 
 
 def _signatures(sets: Sets) -> np.ndarray:
@@ -93,6 +108,10 @@ def _signatures(sets: Sets) -> np.ndarray:
     return out
 
 
+def _rank(count: np.ndarray) -> np.ndarray:
+    return np.where(count < 2, count, np.minimum(255, 2 + 8 * np.log2(np.maximum(count, 2) / 2))).astype(np.uint8)
+
+
 def _sketch(docs: DataFrame, text: str, width: int, min_words: int, bits: int) -> tuple[bytes, int]:
     """The number of word sequences in all sets, and a sketch of them: for each of ``2 ** bits`` counters, the count of the word sequences that fall to it, as a rank of one byte: 0 and 1
     as they are, larger ones on a logarithmic scale. Of fixed size, whatever the size of the corpus."""
@@ -113,7 +132,7 @@ def _sketch(docs: DataFrame, text: str, width: int, min_words: int, bits: int) -
             for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist()):
                 counts = np.frombuffer(blob, "<u2" if len(blob) == 2 * size // CHUNKS else "<u4").astype(np.uint64)
                 total[chunk] = total[chunk] + counts if chunk in total else counts
-        ranks = [np.where(c < 2, c, np.minimum(255, 2 + 8 * np.log2(np.maximum(c, 2) / 2))).astype(np.uint8).tobytes() for c in total.values()]
+        ranks = [_rank(c).tobytes() for c in total.values()]
         sums = [int(c.sum()) for c in total.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(ranks, pa.binary()), pa.array(sums, pa.int64())], names=["chunk", "counts", "total"])
 
@@ -131,8 +150,12 @@ def _compare(left: np.ndarray, right: np.ndarray, limit: Limit) -> np.ndarray:
     return (differing <= sizes - 2 * limit.overlap(sizes)) & limit.near(left["size"], right["size"])
 
 
-def _pairs_of_tiles(entries: np.ndarray, start: np.ndarray, limit: Limit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of the pairs within tiles; ``start`` is, for each entry, where its tile begins. Tiles are sorted by size."""
+def _pairs_of_tiles(entries: np.ndarray, tile: np.ndarray, limit: Limit) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of the pairs within tiles; ``tile`` numbers, in order, the tile of each entry. Tiles are sorted by size, and an
+    entry meets the band of sizes from which a set may agree with it enough, up to its own."""
+    size = entries["size"].astype(np.int64)
+    place = (tile.astype(np.int64) << 32) | size
+    start = np.searchsorted(place, (tile.astype(np.int64) << 32) | -(-size * limit.value.numerator // limit.value.denominator))
     earlier = np.arange(entries.size) - start
     upto = np.cumsum(earlier)
     at = 0
@@ -148,14 +171,22 @@ def _pairs_of_tiles(entries: np.ndarray, start: np.ndarray, limit: Limit) -> Ite
         at = stop
 
 
+def _entries(known: np.ndarray, owner: np.ndarray, flag: np.ndarray) -> np.ndarray:
+    entries = np.empty(owner.size, ENTRY)
+    for name in ("id", "sig", "size"):
+        entries[name] = known[name][owner]
+    entries["index"] = flag
+    return entries
+
+
 def _candidates(blocks: DataFrame, limit: Limit, n: int) -> tuple[DataFrame, DataFrame]:
-    """Identifiers with their classes, and pairs of classes that may agree enough."""
-    names = ["id", "a", "b", "left", "right"]
-    schema = "id string, a long, b long, left binary, right binary"
+    """Identifiers with their classes, and pairs of short class names that may agree enough."""
+    names = ["id", "class", "a", "b", "left", "right"]
+    schema = "id string, class binary, a long, b long, left binary, right binary"
 
     def batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
         none = pa.nulls(a.size, pa.binary())
-        return pa.RecordBatch.from_arrays([pa.nulls(a.size, pa.string()), pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), none, none], names=names)
+        return pa.RecordBatch.from_arrays([pa.nulls(a.size, pa.string()), none, pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), none, none], names=names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, keys, of, index, n_sets = [], [], [], [], 0
@@ -165,7 +196,7 @@ def _candidates(blocks: DataFrame, limit: Limit, n: int) -> tuple[DataFrame, Dat
             if of_texts.num_rows:
                 many = of_texts.num_rows
                 none = pa.nulls(many, pa.binary())
-                yield pa.RecordBatch.from_arrays([of_texts.column("id"), of_texts.column("class"), pa.nulls(many, pa.int64()), none, none], names=names)
+                yield pa.RecordBatch.from_arrays([of_texts.column("id"), of_texts.column("class"), of_texts.column("short"), pa.nulls(many, pa.int64()), none, none], names=names)
             rows = rows.filter(pc.invert(member))
             for set_blob, key_blob in zip(rows.column("sets"), rows.column("keys")):
                 s, k = np.frombuffer(set_blob.as_buffer(), BLOCK_SET), np.frombuffer(key_blob.as_buffer(), BLOCK_KEY)
@@ -177,31 +208,33 @@ def _candidates(blocks: DataFrame, limit: Limit, n: int) -> tuple[DataFrame, Dat
                 n_sets += s.size
         if not keys:
             return
-        known, key, owner, flag = np.concatenate(sets), np.concatenate(keys), np.concatenate(of), np.concatenate(index)
+        known, all_keys, owners, flags = np.concatenate(sets), np.concatenate(keys), np.concatenate(of), np.concatenate(index)
         del sets, keys, of, index
-        order = np.lexsort((known["id"][owner], known["size"][owner], key))
-        key, owner, flag = key[order], owner[order], flag[order]
-        # repeated rows of a class count once, keys of one class belong to no pair
-        again = np.zeros(key.size, bool)
-        again[1:] = (key[1:] == key[:-1]) & (known["id"][owner[1:]] == known["id"][owner[:-1]])
-        key, owner, flag = key[~again], owner[~again], flag[~again]
-        begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        many = np.diff(np.append(begin, key.size))
-        entries = np.empty(key.size, ENTRY)
-        for name in ("id", "sig", "size"):
-            entries[name] = known[name][owner]
-        entries["index"] = flag
-        shared = np.repeat((many > 1) & (many <= TILE), many)
-        start = np.repeat(np.cumsum(np.where((many > 1) & (many <= TILE), many, 0)) - np.where((many > 1) & (many <= TILE), many, 0), many)[shared]
-        for a, b in _pairs_of_tiles(entries[shared], start, limit):
-            if a.size:
-                yield batch(a, b)
-        for first, length in zip(begin[many > TILE], many[many > TILE]):
-            cuts = [entries[i : min(i + TILE, first + length)] for i in range(first, first + length, TILE)]
-            for j, right in enumerate(cuts):
-                for left in cuts[: j + 1]:
-                    if limit.near(left["size"][-1:], right["size"][:1])[0]:
-                        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), *[pa.nulls(1, pa.int64())] * 2, *[pa.array([x.tobytes()], pa.binary()) for x in (left, right)]], names=names)
+        # tiles are made for a slice of the keys at a time, so that what is unpacked stays small
+        slices = -(-all_keys.size // AT_ONCE)
+        for part in range(slices):
+            chosen = np.flatnonzero(all_keys % np.uint64(slices) == part)
+            key, owner, flag = all_keys[chosen], owners[chosen], flags[chosen]
+            order = np.lexsort((known["id"][owner], known["size"][owner], key))
+            key, owner, flag = key[order], owner[order], flag[order]
+            # repeated rows of a class count once, keys of one class belong to no pair
+            again = np.zeros(key.size, bool)
+            again[1:] = (key[1:] == key[:-1]) & (known["id"][owner[1:]] == known["id"][owner[:-1]])
+            key, owner, flag = key[~again], owner[~again], flag[~again]
+            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if key.size else np.empty(0, np.int64)
+            many = np.diff(np.append(begin, key.size))
+            small = (many > 1) & (many <= TILE)
+            shared = np.repeat(small, many)
+            entries = _entries(known, owner[shared], flag[shared])
+            for a, b in _pairs_of_tiles(entries, np.repeat(np.arange(int(small.sum())), many[small]), limit):
+                if a.size:
+                    yield batch(a, b)
+            for first, length in zip(begin[many > TILE], many[many > TILE]):
+                cuts = [_entries(known, owner[i : (stop := min(i + TILE, first + length))], flag[i:stop]) for i in range(first, first + length, TILE)]
+                for j, right in enumerate(cuts):
+                    for left in cuts[: j + 1]:
+                        if limit.near(left["size"][-1:], right["size"][:1])[0]:
+                            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64())] * 2, *[pa.array([x.tobytes()], pa.binary()) for x in (left, right)]], names=names)
 
     def blocks_of_heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -222,7 +255,7 @@ def _candidates(blocks: DataFrame, limit: Limit, n: int) -> tuple[DataFrame, Dat
     met = materialize(blocks.repartition(n, "bucket").mapInArrow(meet, schema), "tiles")
     heavy = met.filter("left IS NOT NULL").repartition(n).mapInArrow(blocks_of_heavy, schema)
     pairs = met.filter("b IS NOT NULL").select("a", "b").unionByName(heavy.select("a", "b")).distinct()
-    members = met.filter("id IS NOT NULL").groupBy("id").agg(F.min("a").alias("class"))
+    members = met.filter("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("class", F.col("a").alias("short"))).alias("c")).select("id", "c.class", "c.short")
     return materialize(members, "members"), materialize(pairs, "candidates")
 
 
@@ -236,7 +269,7 @@ def _labels(spark: SparkSession, n: int) -> np.ndarray:
 
 @dataclass
 class NearDuplicates:
-    """``members``: identifier and ``class`` (one per distinct set, identified by 64 bits of it) of every text that is
+    """``members``: identifier and ``class`` (one per distinct set, identified by 128 bits of it) of every text that is
     long enough. ``links``: pairs of classes ``a, b`` that agree enough, with their ``agreement``."""
 
     members: DataFrame
@@ -283,16 +316,19 @@ def near_duplicates(
     sketch, total = _sketch(rows, "text", width, min_words, sketch_bits)
     ranks = spark.sparkContext.broadcast(sketch)  # 2 ** sketch_bits bytes
     n = max(6, total // SEQUENCES)
+    # a tile of a sequence that stands out from what a counter holds anyway would be large
+    heavy = int(_rank(np.array([max(HEAVY, 4 * total >> sketch_bits)]))[0])
     labels = _labels(spark, n)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks.value, np.uint8)
         held: list[tuple[np.ndarray, ...]] = []
         held_sets = 0
-        names = ["id", "class", "bucket", "sets", "keys"]
+        names = ["id", "class", "short", "bucket", "sets", "keys"]
 
         def blocks() -> pa.RecordBatch:
             sets = np.concatenate([h[0] for h in held])
+            # keys of two sequences follow the sets they are of and count back from their end
             base = np.cumsum([0, *[h[0].size for h in held[:-1]]])
             key = np.concatenate([h[1] for h in held])
             owner = np.concatenate([h[2] + b for h, b in zip(held, base)])
@@ -313,7 +349,7 @@ def near_duplicates(
                 key_blobs.append(packed.tobytes())
             many = found.size
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(many, pa.string()), pa.nulls(many, pa.int64()), pa.array(labels[found]), pa.array(set_blobs, pa.binary()), pa.array(key_blobs, pa.binary())],
+                [pa.nulls(many, pa.string()), pa.nulls(many, pa.binary()), pa.nulls(many, pa.int64()), pa.array(labels[found]), pa.array(set_blobs, pa.binary()), pa.array(key_blobs, pa.binary())],
                 names=names,
             )
 
@@ -321,9 +357,9 @@ def near_duplicates(
             sets = shingle_sets(texts, width, min_words)
             if not sets.rows.size:
                 continue
-            ids, size = _class_ids(sets), np.diff(sets.offsets)
+            (ids, classes), size = _class_ids(sets), np.diff(sets.offsets)
             none = pa.nulls(ids.size, pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(sets.rows)).cast(pa.string()), pa.array(ids), pa.array(labels[np.abs(ids % n)]), none, none], names=names)
+            yield pa.RecordBatch.from_arrays([part.column("id").take(pa.array(sets.rows)).cast(pa.string()), classes, pa.array(ids), pa.array(labels[np.abs(ids % n)]), none, none], names=names)
             owner = np.repeat(np.arange(size.size), size)
             frequency = rank[(sets.values >> np.uint64(64 - sketch_bits)).astype(np.int64)]
             # rare first, then by value: the row number keeps the order of values within a set
@@ -331,11 +367,21 @@ def near_duplicates(
             order = (np.sort(code) & np.uint64((1 << 44) - 1)).astype(np.int64)
             place = np.arange(owner.size) - np.repeat(sets.offsets[:-1], size)
             # a sequence that was counted once is in one text only
-            use = (place < np.repeat(limit.probe(size), size)) & (frequency[order] > 1)
+            probe, shorter = limit.probe(size), limit.index(size)
+            ranks_in_order = frequency[order]
+            is_heavy = ranks_in_order >= heavy
+            # two common sequences are sure only where more than one is asked for
+            alone = ~is_heavy | np.repeat(size - probe + 1 < 2, size)
+            use = (place < np.repeat(probe, size)) & (ranks_in_order > 1) & alone
             chosen = order[use]
             entry = np.empty(size.size, BLOCK_SET)
             entry["id"], entry["sig"], entry["size"] = ids, _signatures(sets), size
-            held.append((entry, sets.values[chosen], owner[use], (place < np.repeat(limit.index(size), size))[use]))
+            held.append((entry, sets.values[chosen], owner[use], (place < np.repeat(shorter, size))[use]))
+            light = np.add.reduceat((~is_heavy).astype(np.int64), sets.offsets[:-1])
+            for i in np.flatnonzero(light < probe):
+                b, e = sets.offsets[i], sets.offsets[i + 1]
+                pair_keys, short = _pair_keys(sets.values[order[b:e]], int(probe[i]), int(shorter[i]), int(light[i]))
+                held.append((entry[:0], pair_keys, np.full(pair_keys.size, i - size.size), short))
             held_sets += size.size
             if held_sets > 20_000:
                 yield blocks()
@@ -343,9 +389,10 @@ def near_duplicates(
         if held:
             yield blocks()
 
-    posted = rows.mapInArrow(post, "id string, class long, bucket int, sets binary, keys binary")
+    posted = rows.mapInArrow(post, "id string, class binary, short long, bucket int, sets binary, keys binary")
     members, candidates = _candidates(posted, limit, n)
     links = _verify(rows, members, candidates, limit, width, min_words)
+    # classes are told apart by all of their bits from here on
     return NearDuplicates(members.select(F.col("id").cast(docs.schema[identifier].dataType).alias(identifier), "class"), links, identifier)
 
 
@@ -366,8 +413,9 @@ def equal_words(docs: DataFrame, identifier: str, text: str) -> DataFrame:
 
 def _verify(rows: DataFrame, members: DataFrame, candidates: DataFrame, limit: Limit, width: int, min_words: int) -> DataFrame:
     """The candidates that agree enough, by exact intersection of their sets."""
-    wanted = candidates.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    heads = materialize(members.join(wanted, "class").groupBy("class").agg(F.min("id").alias("head")), "heads")
+    several = members.groupBy("short").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("short")
+    wanted = candidates.select(F.explode(F.array("a", "b")).alias("short")).unionByName(several).distinct()
+    heads = materialize(members.join(wanted, "short").groupBy("class", "short").agg(F.min("id").alias("head")), "heads")
     many = heads.count()
     texts = attach(rows.withColumn("head", F.col("id").cast("string")), heads, ["head"], "id", many).select("class", "text")
 
@@ -377,8 +425,14 @@ def _verify(rows: DataFrame, members: DataFrame, candidates: DataFrame, limit: L
             blobs = [got.values[b:e].tobytes() for b, e in zip(got.offsets[:-1], got.offsets[1:])]
             yield pa.RecordBatch.from_arrays([part.column("class").take(pa.array(got.rows)), pa.array(blobs, pa.binary())], names=["class", "members"])
 
-    arrays = materialize(texts.mapInArrow(sets, "class long, members binary").dropDuplicates(["class"]), "arrays")
-    both = candidates.join(arrays.select(F.col("class").alias("a"), F.col("members").alias("left")), "a")
+    arrays = materialize(texts.mapInArrow(sets, "class binary, members binary").dropDuplicates(["class"]), "arrays")
+    names = heads.select("class", "short")
+    named = candidates.join(names.toDF("ca", "a"), "a").join(names.toDF("cb", "b"), "b").select("ca", "cb")
+    # different classes of one short name are candidates too: none to be expected below some 10^9 classes
+    again = names.join(several, "short")
+    again = again.toDF("short", "ca").join(again.toDF("short", "cb"), "short").filter("ca < cb").select("ca", "cb")
+    pairs = named.unionByName(again).toDF("a", "b")
+    both = pairs.join(arrays.select(F.col("class").alias("a"), F.col("members").alias("left")), "a")
     both = both.join(arrays.select(F.col("class").alias("b"), F.col("members").alias("right")), "b")
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,7 +447,7 @@ def _verify(rows: DataFrame, members: DataFrame, candidates: DataFrame, limit: L
             ok = pa.array(shares >= 0)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(ok), batch.column("b").filter(ok), pa.array(shares).filter(ok)], names=["a", "b", "agreement"])
 
-    return materialize(both.select("a", "b", "left", "right").mapInArrow(intersect, "a long, b long, agreement double"), "links")
+    return materialize(both.select("a", "b", "left", "right").mapInArrow(intersect, "a binary, b binary, agreement double"), "links")
 
 
 __all__ = ["NearDuplicates", "equal_words", "near_duplicates"]

@@ -135,9 +135,10 @@ def near_texts(seed=7):
     return texts + [texts[0], texts[0].upper(), "", None, "a b", "İstanbul K 1 2 3 4 5 6 é x", "x" * 5000 + " a b c d e f g h i"]
 
 
-@pytest.mark.parametrize("tile", [neardup.TILE, 3])
-def test_near_duplicates_equal_brute_force(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "heavy"), [(neardup.TILE, neardup.HEAVY), (3, neardup.HEAVY), (4, 3)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, tile, heavy):
     monkeypatch.setattr(neardup, "TILE", tile)
+    monkeypatch.setattr(neardup, "HEAVY", heavy)
     texts = near_texts()
     rows = [(f"t{i:03}", t, 0) for i, t in enumerate(texts)] + [("t000", texts[0], 0), (None, texts[1], 0)]
     df = spark.createDataFrame(rows, "id string, text string, class int").repartition(5)
@@ -151,6 +152,22 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, tile):
     assert neardup.near_duplicates(df.limit(0), "id", "text").pairs().count() == 0
 
 
+def test_classes_of_one_short_name_are_told_apart(spark, monkeypatch):
+    """The first 64 bits name a class in postings; here they are the same for all."""
+    whole = neardup._class_ids
+
+    def shortened(sets):
+        short, classes = whole(sets)
+        return short % 2, classes
+
+    monkeypatch.setattr(neardup, "_class_ids", shortened)
+    base = "a b c d e f g h i j k l m n o p q r s t".split()
+    texts = [" ".join(base), " ".join([*base[:-1], "x"]), " ".join([*base, "y"]), "nothing of the kind is to be found in this text at all"]
+    df = spark.createDataFrame([(f"t{i}", t) for i, t in enumerate([*texts, texts[0]])], "id string, text string")
+    found = neardup.near_duplicates(df, "id", "text", agreement=0.6, width=3)
+    assert sorted(tuple(r) for r in found.pairs().collect()) == [("t0", "t1"), ("t0", "t2"), ("t0", "t4"), ("t1", "t2"), ("t1", "t4"), ("t2", "t4")]
+
+
 def test_shingle_hashes_do_not_depend_on_the_batch():
     a = shingle_sets(["one two three four", "x"], 3, 0)
     b = shingle_sets(["filler words come first here", "One  TWO, three-four"], 3, 0)
