@@ -35,6 +35,8 @@ NAME_CUES = ["my name is", "regards,", "sincerely,", "signed:", "signed by", "at
 CUE_WEIGHT = 10
 #: what a pair with capitals of which nothing is known counts against a context; one in lower case counts 1
 UNKNOWN = 0.5
+#: characters that are looked at first for the words around an item, before all of the text
+NEAR = 80
 #: entries that a task counts before it hands them on
 MOST_HELD = 200_000
 #: share from which a context, or a word, is taken for one of names
@@ -100,6 +102,10 @@ def _alone(text: str, start: int, end: int) -> bool:
 def _before(low: str, start: int, many: int) -> list[str]:
     """The last ``many`` words before ``start``, in order. A word is at most 100 characters here, so that a text without
     blanks is not read again for each of its numbers; items themselves may be of any length."""
+    # mostly enough is near; the first word there may be cut
+    near = low[max(0, start - NEAR) : start].split()
+    if len(near) > many or start <= NEAR:
+        return near[-many:]
     words: list[str] = []
     for m in BACK.finditer(low, 0, start):
         words.append(m.group())
@@ -121,19 +127,32 @@ def _right(text: str, low: str, end: int, many: int) -> list[str]:
     """The words after, of the same sentence. Capitalised ones that follow directly are passed over, as they vary."""
     if end < len(low) and low[end] in ".!?":
         return ["$"]
-    words: list[str] = []
-    for m in AHEAD.finditer(low, end):
-        word = m.group()
-        if not words and text[m.start()].isupper() and m.end() < len(low):
+    stop = end + NEAR
+    near = low[end:stop].split()
+    if stop < len(low):
+        del near[-1:]  # it may be cut
+    shown = text[end:stop].split()
+    words, over = _following(((w, shown[i][0].isupper() and (stop < len(low) or i + 1 < len(near))) for i, w in enumerate(near)), many)
+    if over or stop >= len(low):
+        return words
+    return _following(((m.group(), text[m.start()].isupper() and m.end() < len(low)) for m in AHEAD.finditer(low, end)), many)[0]
+
+
+def _following(words: Iterable[tuple[str, bool]], many: int) -> tuple[list[str], bool]:
+    """The first ``many`` words, without those passed over at the start, up to the end of the sentence; and whether that is
+    all there is to know."""
+    out: list[str] = []
+    for word, passed in words:
+        if passed and not out:
             if word[-1] in ".!?":
-                return ["$"]
+                return ["$"], True
             continue
-        words.append(word)
+        out.append(word)
         if word[-1] in ".!?":
-            return [*words, "$"]
-        if len(words) == many:
-            break
-    return words
+            return [*out, "$"], True
+        if len(out) == many:
+            return out, True
+    return out, False
 
 
 def shape(number: str) -> str:
@@ -209,7 +228,7 @@ def _number_at(text: str, start: int, floor: int) -> regex.Match | None:
 
 def _house_at(text: str, start: int, floor: int) -> tuple[str, int, int] | None:
     """Form, start and end of what may be a house with its number at ``start``."""
-    if m := BEFORE.match(text, floor, start):
+    if start > floor and text[start - 1].isspace() and (m := BEFORE.match(text, floor, start)):
         if number := re.compile(r"\d{1,6}(?!\d)").match(text, start):
             street, suffix, box = m.groups()
             form = f"{street.lower()} * n" if street else f"*{suffix.lower()} n" if suffix else f"{re.sub('[^a-z]', '', box.lower())} n"
@@ -289,8 +308,11 @@ def _contexts(docs: DataFrame) -> DataFrame:
             for text in batch.column("text").to_pylist():
                 low = _lowered(text)
                 emails, titled = _marked(text, low)
+                cued = CUE.search(low)
                 for kind, form, start, end in _numbers(text, emails):
-                    left, right = _left(low, start, 4), _right(text, low, end, 5)
+                    # a cue may stand further off than a pattern reaches
+                    far = bool(cued) and kind == "number"
+                    left, right = _left(low, start, 4 if far else 2), _right(text, low, end, 5 if far else 3)
                     seed = _seed_type(kind, form, left, right)
                     found[kind, form, "l", " ".join(left[-2:]), seed] += 1
                     found[kind, form, "r", " ".join(right[:3]), seed] += 1
@@ -630,9 +652,11 @@ class Finder:
         low = _lowered(text)
         taken, titled = _marked(text, low)
         found = [*[(b, e, "email") for b, e in taken], *[(b, e, "name") for b, e, _ in titled]]
+        cued = CUE.search(low)
         for kind, form, start, end in _numbers(text, taken, self._known):
             # forms that need no context, and numbers with a cue beside them, count even where the corpus has them once
-            if t := self.forms.get((kind, form)) or _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5)):
+            t = self.forms.get((kind, form)) or _seed_type(kind, form, [], [])
+            if t or (kind == "number" and cued and (t := _seed_type(kind, form, _left(low, start, 4), _right(text, low, end, 5)))):
                 found.append((start, end, t))
         found += [(b, e, "name") for b, e, *_ in _full_names(text, taken)]
         found += [(b, e, "name") for b, e in [*self._names(text, low), *self._placed(text, low)] if not any(x < e and b < y for x, y in taken)]
