@@ -8,7 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skeinwork.operators.candidates import decisions, score
 from skeinwork.operators.ranged import run_positions
+from skeinwork.packs import RelevancePack
+from skeinwork.scratch import materialize
 
 KEY = ["source_type", "source_id"]
 
@@ -37,6 +40,73 @@ def stratified_sample(candidates: DataFrame, seed: str, caps: Mapping[str, int],
     return kept.join(F.broadcast(sizes), "sample_stratum")  # one row per decision
 
 
+STRATA = ("retain", "evaluate", "discard")
+
+
+def export_sample(candidates: DataFrame, scores: DataFrame, domains: Sequence[str], seed: str, caps: Mapping[str, int], default: int, text: str = "original_text") -> DataFrame:
+    """The sheet for review: a stratified sample of ``candidates`` (with ``subreddit``, ``source_url`` and ``text``) with the
+    score of each domain, the prediction of the best one, an excerpt and empty labels. The stratum is the best decision
+    over all domains. Rows come by stratum (retain, evaluate, discard), then by type and id."""
+    best = best_domain(scores).select(*KEY, F.col("domain").alias("predicted_domain"), F.col("relevance_score").alias("predicted_score"), F.col("relevance_tier").alias("predicted_tier"), F.col("decision").alias("predicted_decision"))
+    summary = pivot_scores(scores, domains).join(best, KEY).join(decisions(scores).withColumnRenamed("decision", "sample_stratum"), KEY)
+    rows = candidates.select(*KEY, "subreddit", F.left(text, F.lit(1000)).alias("text_excerpt"), "source_url").join(summary, KEY)
+    drawn = stratified_sample(materialize(rows, "sheet"), seed, caps, default).withColumn("sampling_seed", F.lit(seed))
+    blank = [*[f"label_{d}" for d in domains], "false_positive_category", "label_notes"]
+    place = F.lit(len(STRATA))
+    for i, stratum in enumerate(STRATA):
+        place = F.when(F.col("sample_stratum") == stratum, i).otherwise(place)
+    return drawn.withColumns({c: F.lit(None).cast("string") for c in blank}).orderBy(place, *KEY)
+
+
+def fixture_faults(labels: DataFrame, scores: DataFrame, domains: Sequence[str]) -> DataFrame:
+    """``fault`` and ``n``: what a set of labels claims and the scores do not bear out. ``labels`` has the key, the columns of
+    a drawn sample as text and a label for each domain; all counts are 0 for one that may be evaluated.
+
+    Strata and their populations are derived from the scores: the claimed stratum, population, strata without a label,
+    and the retained candidates, all of which have to be labelled, are held against them."""
+    if missing := {*KEY, "sample_stratum", "stratum_population", "sample_rank", "sampling_seed", *[f"label_{d}" for d in domains]} - set(labels.columns):
+        raise ValueError(f"labels without the columns {sorted(missing)}")
+    derived = materialize(decisions(scores).withColumnRenamed("decision", "stratum"), "strata")
+    sizes = derived.groupBy("stratum").agg(F.count(F.lit(1)).alias("population"))
+    marked = labels.join(derived, KEY, "left").join(F.broadcast(sizes.select(F.col("stratum").alias("sample_stratum"), "population")), "sample_stratum", "left")  # one row per decision
+    claimed = F.expr("try_cast(stratum_population AS BIGINT)")
+    key = F.concat_ws(":", *KEY)
+    counts = marked.agg(
+        (F.count(F.lit(1)) == 0).cast("long").alias("no_labels"), (F.count(F.lit(1)) - F.countDistinct(key)).alias("repeated_ids"),
+        *[F.count_if(~F.coalesce(F.col(f"label_{d}").isin("0", "1"), F.lit(False))).alias(f"invalid_label_{d}") for d in domains],
+        F.count_if(F.col("stratum").isNull()).alias("unknown_ids"), F.count_if(F.col("sample_stratum") != F.col("stratum")).alias("other_stratum"),
+        F.count_if(claimed.isNull()).alias("population_no_number"), F.count_if(claimed != F.col("population")).alias("other_population"),
+        F.count_if((F.col("sample_stratum") == "retain") & F.col("stratum").isNull()).alias("unknown_retained"), F.count_if(F.col("sample_stratum") == "retain").alias("_claimed"),
+    )
+    kept = derived.filter("stratum = 'retain'")
+    unlabelled = kept.join(labels, KEY, "left_anti").agg(F.count(F.lit(1)).alias("retained_without_label"))
+    without = sizes.join(labels.select(F.col("sample_stratum").alias("stratum")), "stratum", "left_anti").agg(F.count(F.lit(1)).alias("strata_without_label"))
+    expected = labels.select(*KEY, F.explode(F.array(*[F.lit(d) for d in domains])).alias("domain"))
+    seen = scores.groupBy(*KEY, "domain").agg(F.count(F.lit(1)).alias("_n"))
+    uneven = expected.join(seen, [*KEY, "domain"], "left").agg(F.count_if(F.coalesce("_n", F.lit(0)) != 1).alias("not_one_score"))
+    one = counts.crossJoin(kept.agg(F.count(F.lit(1)).alias("_kept"))).crossJoin(unlabelled).crossJoin(without).crossJoin(uneven)  # one row each
+    one = one.withColumn("retained_difference", F.abs(F.col("_claimed") - F.col("_kept"))).drop("_claimed", "_kept")
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("fault"), F.col(c).cast("long").alias("n")) for c in one.columns])).alias("f")).select("f.*")
+
+
+def require_fixture(labels: DataFrame, scores: DataFrame, domains: Sequence[str]) -> None:
+    """An error that names every fault, if there is one."""
+    if found := {r["fault"]: r["n"] for r in fixture_faults(labels, scores, domains).filter("n > 0").collect()}:
+        raise ValueError(f"the labels do not fit the scores: {found}")
+
+
+def calibrate(candidates: DataFrame, pack: RelevancePack, positives: Mapping[str, Sequence[str]], categories: Mapping[str, Sequence[str]], seed: str, gate: Gate, text: str = "candidate_text") -> dict[str, object]:
+    """One fixture through all stages: candidates are scored by ``pack``, all of them are drawn, the reviewed ids are applied
+    as labels, and the figures are held against the gate. Reviewed ids that are no candidates are an error."""
+    domains = [d.name for d in pack.domains]
+    scores = materialize(score(candidates, pack), "scores")
+    sheet = export_sample(candidates, scores, domains, seed, dict.fromkeys(STRATA, 0), 0, text)
+    labels = materialize(annotate(sheet, {d: positives.get(d, ()) for d in domains}, categories), "labels")
+    require_fixture(labels, scores, domains)
+    figures = overall(labels, scores, domains)
+    return {"pack": pack.version, "figures": figures, "domains": [r.asDict() for r in domain_quality(labels, scores, domains).orderBy("domain").collect()], "failures": gate.failures(figures)}
+
+
 def ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 

@@ -156,9 +156,53 @@ def version_uniformity(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT domain, count(*) - count(DISTINCT coalesce(source_type, '') || ':' || coalesce(source_id, '')) AS repeated_rows, count(*) FILTER (WHERE relevance_score IS NULL) AS without_score,
-  bool_or(decision = 'retain') AND NOT bool_or(relevance_tier = 'X') AS plausible FROM scores GROUP BY 1 HAVING bool_or(decision = 'retain')""")
+  bool_or(decision = 'retain') AND NOT bool_or(relevance_tier = 'D' AND decision = 'retain') AS plausible FROM scores GROUP BY 1 HAVING bool_or(decision = 'retain')""")
 def score_checks(spark: SparkSession, d: str) -> DataFrame:
     key = F.concat(F.coalesce("source_type", F.lit("")), F.lit(":"), F.coalesce("source_id", F.lit("")))
     retained = F.bool_or(F.col("decision") == "retain")
-    out = table(spark, d, "scores").groupBy("domain").agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("repeated_rows"), F.count_if(F.col("relevance_score").isNull()).alias("without_score"), (retained & ~F.bool_or(F.col("relevance_tier") == "X")).alias("plausible"), retained.alias("_r"))
+    out = table(spark, d, "scores").groupBy("domain").agg((F.count(F.lit(1)) - F.countDistinct(key)).alias("repeated_rows"), F.count_if(F.col("relevance_score").isNull()).alias("without_score"), (retained & ~F.bool_or((F.col("relevance_tier") == "D") & (F.col("decision") == "retain"))).alias("plausible"), retained.alias("_r"))
     return out.filter("_r").drop("_r")
+
+
+_D = """strata AS (SELECT source_type, source_id, CASE max(CASE decision WHEN 'retain' THEN 2 WHEN 'evaluate' THEN 1 ELSE 0 END) WHEN 2 THEN 'retain' WHEN 1 THEN 'evaluate' ELSE 'discard' END AS stratum FROM scored GROUP BY 1, 2)"""
+_CLAIMS = f"""claims AS (SELECT coalesce(t.source_type, 'comment') AS source_type, r.source_id, r.predicted_decision AS sample_stratum, CAST(count(*) OVER (PARTITION BY r.predicted_decision) AS VARCHAR) AS stratum_population, {", ".join(f"r.label_{x}" for x in DOMAINS)}
+  FROM {REVIEW} r LEFT JOIN (SELECT source_id, min(source_type) AS source_type FROM scored GROUP BY 1) t ON r.source_id = t.source_id)"""
+
+
+@query(f"""WITH {_S}, {_D}, {_CLAIMS}, sizes AS (SELECT stratum, count(*) AS population FROM strata GROUP BY 1),
+marked AS (SELECT c.*, s.stratum, z.population FROM claims c LEFT JOIN strata s ON c.source_type = s.source_type AND c.source_id = s.source_id LEFT JOIN sizes z ON c.sample_stratum = z.stratum),
+seen AS (SELECT source_type, source_id, domain, count(*) AS n FROM scored GROUP BY 1, 2, 3)
+SELECT 'no_labels' AS fault, CAST(count(*) = 0 AS BIGINT) AS n FROM marked
+UNION ALL SELECT 'repeated_ids', count(*) - count(DISTINCT source_type || ':' || coalesce(source_id, '')) FROM marked
+{" ".join(f"UNION ALL SELECT 'invalid_label_{x}', count(*) FILTER (WHERE label_{x} IS NULL OR label_{x} NOT IN ('0', '1')) FROM marked" for x in DOMAINS)}
+UNION ALL SELECT 'unknown_ids', count(*) FILTER (WHERE stratum IS NULL) FROM marked
+UNION ALL SELECT 'other_stratum', count(*) FILTER (WHERE sample_stratum <> stratum) FROM marked
+UNION ALL SELECT 'population_no_number', count(*) FILTER (WHERE TRY_CAST(stratum_population AS BIGINT) IS NULL) FROM marked
+UNION ALL SELECT 'other_population', count(*) FILTER (WHERE CAST(stratum_population AS BIGINT) <> population) FROM marked
+UNION ALL SELECT 'unknown_retained', count(*) FILTER (WHERE sample_stratum = 'retain' AND stratum IS NULL) FROM marked
+UNION ALL SELECT 'retained_without_label', count(*) FROM strata s WHERE stratum = 'retain' AND NOT EXISTS (SELECT 1 FROM claims c WHERE c.source_type = s.source_type AND c.source_id = s.source_id)
+UNION ALL SELECT 'strata_without_label', count(*) FROM sizes z WHERE NOT EXISTS (SELECT 1 FROM claims c WHERE c.sample_stratum = z.stratum)
+UNION ALL SELECT 'not_one_score', count(*) FILTER (WHERE coalesce(s.n, 0) <> 1) FROM claims c CROSS JOIN (VALUES {", ".join(f"('{x}')" for x in DOMAINS)}) v(domain) LEFT JOIN seen s ON c.source_type = s.source_type AND c.source_id = s.source_id AND v.domain = s.domain
+UNION ALL SELECT 'retained_difference', abs((SELECT count(*) FROM claims WHERE sample_stratum = 'retain') - (SELECT count(*) FROM strata WHERE stratum = 'retain'))""")
+def eval_fixture_faults(spark: SparkSession, d: str) -> DataFrame:
+    """The review sample as if it were a labelled sample of these scores: what it claims and they do not bear out."""
+    rows = scores(spark, d)
+    kinds = rows.groupBy("source_id").agg(F.min("source_type").alias("source_type"))
+    review = table(spark, d, REVIEW)
+    sizes = review.groupBy("predicted_decision").agg(F.count(F.lit(1)).cast("string").alias("stratum_population")).withColumnRenamed("predicted_decision", "sample_stratum")
+    claims = review.join(kinds, "source_id", "left").withColumn("source_type", F.coalesce("source_type", F.lit("comment"))).withColumnRenamed("predicted_decision", "sample_stratum")
+    claims = claims.join(F.broadcast(sizes), "sample_stratum", "left").withColumns({"sample_rank": F.lit("1"), "sampling_seed": F.lit("seed-1")})  # one row per decision
+    return ev.fixture_faults(claims, rows, DOMAINS)
+
+
+@query(f"""WITH {_B}, {_D}, docs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_type, source_id ORDER BY clean_run_id DESC) AS place FROM source_documents) WHERE place = 1),
+piv AS (SELECT source_type, source_id, {", ".join(f"max(relevance_score) FILTER (WHERE domain = '{x}') AS {x}_score" for x in DOMAINS)} FROM scored GROUP BY 1, 2),
+rows_ AS (SELECT c.source_type, c.source_id, left(c.analytical_text, 1000) AS text_excerpt, {", ".join(f"{x}_score" for x in DOMAINS)}, b.domain AS predicted_domain, b.relevance_score AS predicted_score, b.relevance_tier AS predicted_tier, b.decision AS predicted_decision, s.stratum AS sample_stratum
+  FROM docs c JOIN piv p ON c.source_type = p.source_type AND c.source_id = p.source_id JOIN best b ON c.source_type = b.source_type AND c.source_id = b.source_id JOIN strata s ON c.source_type = s.source_type AND c.source_id = s.source_id),
+placed AS (SELECT *, count(*) OVER (PARTITION BY sample_stratum) AS stratum_population, row_number() OVER (PARTITION BY sample_stratum ORDER BY md5(source_type || ':' || source_id || ':seed-1'), source_id) AS sample_rank FROM rows_)
+SELECT * FROM placed WHERE sample_rank <= CASE sample_stratum WHEN 'retain' THEN stratum_population ELSE 25 END
+ORDER BY CASE sample_stratum WHEN 'retain' THEN 1 WHEN 'evaluate' THEN 2 ELSE 3 END, source_type, source_id""")
+def eval_export(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "source_documents").filter("source_id IS NOT NULL").groupBy(*ev.KEY).agg(F.max(F.struct("clean_run_id", "analytical_text", "subreddit", "source_url")).alias("r")).select(*ev.KEY, "r.*")
+    sheet = ev.export_sample(docs, scores(spark, d), DOMAINS, "seed-1", {"retain": 0}, 25, "analytical_text")
+    return sheet.select(*ev.KEY, "text_excerpt", *[f"{x}_score" for x in DOMAINS], "predicted_domain", "predicted_score", "predicted_tier", "predicted_decision", "sample_stratum", "stratum_population", "sample_rank")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import shutil
 import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
@@ -23,7 +22,8 @@ from pyspark.sql import types as T
 from skeinwork.operators.evaluation import KEY
 from skeinwork.packs import RelevancePack
 from skeinwork.plans.review import batch_checksum
-from skeinwork.sources.manifest import digest, read_json, stable_id, write_json
+from skeinwork.sources.files import Files
+from skeinwork.sources.manifest import stable_id
 
 S, D, L, B, A, TS = T.StringType(), T.DoubleType(), T.LongType(), T.BooleanType(), T.ArrayType(T.StringType()), T.TimestampType()
 
@@ -44,18 +44,19 @@ MIGRATIONS: dict[str, dict[str, T.StructType]] = {
 }
 
 
-def apply_migrations(root: str | Path, migrations: dict[str, dict[str, T.StructType]] = MIGRATIONS) -> list[str]:
+def apply_migrations(spark: SparkSession, root: str | Path, migrations: dict[str, dict[str, T.StructType]] = MIGRATIONS) -> list[str]:
     """Records the versions that are new, in order; the checksums of those recorded before must not have changed."""
-    path = Path(root) / "_migrations.json"
-    known = read_json(path) or {}
+    files, path = Files(spark), f"{root}/_migrations.json"
+    known = files.read_json(path) or {}
     added = []
     for version in sorted(migrations):
         mark = hashlib.sha256("".join(f"{n}:{s.json()}" for n, s in sorted(migrations[version].items())).encode()).hexdigest()
+        if version not in known:
+            added.append(version)
         if known.setdefault(version, mark) != mark:
             raise ValueError(f"{version} was changed after it was applied")
-        if version not in (read_json(path) or {}):
-            added.append(version)
-    write_json(path, known)
+    if added:
+        files.write_json(path, known)
     return added
 
 
@@ -84,26 +85,40 @@ class Batch:
 
 class Store:
     def __init__(self, spark: SparkSession, root: str | Path):
-        self.spark, self.root = spark, Path(root)
-        apply_migrations(self.root)
+        self.spark, self.root, self.files = spark, str(root).rstrip("/"), Files(spark)
+        apply_migrations(spark, self.root)
 
     def committed(self) -> list[str]:
-        return sorted(p.stem for p in (self.root / "_committed").glob("*.json"))
+        return [name.removesuffix(".json") for name in self.files.names(f"{self.root}/_committed") if name.endswith(".json")]
 
     def table(self, name: str) -> DataFrame:
         """A table over all committed batches."""
         schema = next(tables[name] for tables in MIGRATIONS.values() if name in tables)
-        paths = [str(p) for b in self.committed() if (p := self.root / name / f"ingest_batch_id={b}").exists()]
+        there = set(self.files.names(f"{self.root}/{name}"))
+        paths = [f"{self.root}/{name}/ingest_batch_id={b}" for b in self.committed() if f"ingest_batch_id={b}" in there]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*paths)
 
     def log(self, batch_id: str, event: str, **facts: Any) -> None:
-        write_json(self.root / "_events" / batch_id / f"{datetime.now(UTC):%Y%m%dT%H%M%S.%f}-{event}.json", {"batch_id": batch_id, "event": event, **facts})
+        at = datetime.now(UTC).isoformat(timespec="microseconds")
+        self.files.write_json(f"{self.root}/_events/{batch_id}/{at.replace(':', '')}-{event}.json", {"batch_id": batch_id, "event": event, "at": at, **facts})
 
     def state(self, batch_id: str) -> str | None:
-        events = sorted((self.root / "_events" / batch_id).glob("*.json"))
-        return read_json(events[-1])["event"] if events else None
+        names = [n for n in self.files.names(f"{self.root}/_events/{batch_id}") if n.endswith(".json")]
+        return self.files.read_json(f"{self.root}/_events/{batch_id}/{names[-1]}")["event"] if names else None
+
+    def lifecycle(self) -> DataFrame:
+        """``batch_id, state, at`` of every batch that ever began, with ``manifest_id, staged, retained, rejected_late,
+        with_review_tier`` of its record where it was committed: the latest event joined with the record."""
+        events = self.spark.read.schema("batch_id string, event string, at string").option("multiLine", True).option("recursiveFileLookup", True)
+        facts = "batch_id string, manifest_id string, staged long, retained long, rejected_late long, with_review_tier boolean"
+        if not self.files.names(f"{self.root}/_events"):
+            return self.spark.createDataFrame([], f"batch_id string, state string, at string, {facts.partition(', ')[2]}")
+        last = events.json(f"{self.root}/_events").groupBy("batch_id").agg(F.max_by("event", "at").alias("state"), F.max("at").alias("at"))
+        done = f"{self.root}/_committed"
+        records = self.spark.read.schema(facts).option("multiLine", True).json(done) if self.committed() else self.spark.createDataFrame([], facts)
+        return last.join(records, "batch_id", "left")
 
     def commit(self, batch: Batch, candidates: DataFrame, scores: DataFrame, pack: RelevancePack, salt: str) -> dict[str, Any]:
         """Publishes the retained candidates (and those of the review tier, if wanted) with relevance, signals and entities.
@@ -112,8 +127,8 @@ class Store:
         the marker is set: unique candidates, a score for each domain, one version, no orphans, no document that is
         there already, and that seen = rejected early + staged and staged = retained + rejected late.
         """
-        marker = self.root / "_committed" / f"{batch.batch_id}.json"
-        if old := read_json(marker):
+        marker = f"{self.root}/_committed/{batch.batch_id}.json"
+        if old := self.files.read_json(marker):
             if old["with_review_tier"] != batch.with_review_tier:
                 raise ValueError("the batch was committed with another scope")
             return old | {"status": "skipped_existing"}
@@ -139,26 +154,26 @@ class Store:
         signals = groups.join(F.broadcast(kinds), "rule_group")  # one row per rule group
         signals = signals.select(F.substring(F.sha2(F.concat_ws("\0", "document_id", "signal_type", "rule_group"), 256), 1, 24).alias("signal_id"), "document_id", "signal_type", "rule_group").distinct()
         entities = candidates.join(chosen, KEY, "left_semi").select(doc_id.alias("document_id"), F.explode("matched_terms").alias("normalized_entity")).distinct()
-        place = self.root / "_staging" / f"{batch.batch_id}-{uuid.uuid4().hex}"
+        place = f"{self.root}/_staging/{batch.batch_id}-{uuid.uuid4().hex}"
         tables = {"documents": documents, "document_relevance": relevance, "signals": signals, "entities": entities}
         try:
             for name, df in tables.items():
-                df.withColumn("ingest_batch_id", F.lit(batch.batch_id)).write.option("compression", "zstd").parquet(str(place / name))
-            back = {name: self.spark.read.parquet(str(place / name)) for name in tables}
+                df.withColumn("ingest_batch_id", F.lit(batch.batch_id)).write.option("compression", "zstd").parquet(f"{place}/{name}")
+            back = {name: self.spark.read.parquet(f"{place}/{name}") for name in tables}
             retained = back["documents"].count()
             self._require(back["document_relevance"].count() == retained * domains, "relevance rows do not match the documents")
             self._require(back["signals"].join(back["documents"], "document_id", "left_anti").isEmpty(), "signals without document")
             check = batch_checksum(back["documents"].select(F.col("document_id").alias("id"))).first()
             for name in tables:
-                target = self.root / name / f"ingest_batch_id={batch.batch_id}"
-                target.parent.mkdir(parents=True, exist_ok=True)
-                shutil.rmtree(target, ignore_errors=True)
-                os.replace(place / name, target)
+                # what an attempt without marker left there was never seen
+                target = f"{self.root}/{name}/ingest_batch_id={batch.batch_id}"
+                self.files.delete(target)
+                self.files.move(f"{place}/{name}", target)
         finally:
-            shutil.rmtree(place, ignore_errors=True)
+            self.files.delete(place)
         record = {"status": "committed_validated", "batch_id": batch.batch_id, "manifest_id": batch.manifest_id, "with_review_tier": batch.with_review_tier, "rows_seen": batch.rows_seen, "rejected_early": batch.rejected_early, "staged": staged, "retained": retained, "rejected_late": staged - retained, "checksum": check["checksum"]}
         self.log(batch.batch_id, "committed_validated")
-        write_json(marker, record)
+        self.files.write_json(marker, record)
         return record
 
     @staticmethod
@@ -169,22 +184,22 @@ class Store:
     def cleanup(self, batch_id: str, staged: dict[str, str]) -> dict[str, Any]:
         """Removes staged files, given with their digests, of a committed batch whose documents still match its checksum. A
         file that differs from its digest is refused; one that is gone was removed before."""
-        record = read_json(self.root / "_committed" / f"{batch_id}.json")
+        record = self.files.read_json(f"{self.root}/_committed/{batch_id}.json")
         if not record:
             raise ValueError("the batch is not committed")
         ids = self.table("documents").filter(F.col("ingest_batch_id") == batch_id).select(F.col("document_id").alias("id"))
         check = batch_checksum(ids).first()
         if record["retained"] != (check["documents"] or 0) or (record["retained"] and check["checksum"] != record["checksum"]):
             raise ValueError("the store does not match the batch's record")
-        there = {p: d for p, d in staged.items() if Path(p).exists()}
+        there = {p: d for p, d in staged.items() if self.files.exists(p)}
         if not there:
             return {"status": "skipped_existing", "removed": 0}
         for path, expected in there.items():
-            if digest(path) != expected:
+            if self.files.digest(path) != expected:
                 raise ValueError(f"{path} was changed after it was staged")
         self.log(batch_id, "cleanup_started", files=sorted(there))
         for path in there:
-            shutil.rmtree(path) if Path(path).is_dir() else Path(path).unlink()
+            self.files.delete(path)
         self.log(batch_id, "cleaned", files=sorted(there))
         return {"status": "cleaned", "removed": len(there)}
 

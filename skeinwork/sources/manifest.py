@@ -81,13 +81,15 @@ def read_json(path: str | Path) -> dict[str, Any] | None:
 
 
 def digest(path: str | Path) -> str:
-    """SHA-256 of a file, or of all data files of a folder in order."""
-    path, total = Path(path), hashlib.sha256()
-    for file in [path] if path.is_file() else sorted(p for p in path.rglob("*") if p.is_file() and p.name[0] not in "._"):
-        total.update(file.name.encode() if path.is_dir() else b"")
-        with file.open("rb") as data:
-            while block := data.read(1 << 20):
-                total.update(block)
+    """SHA-256 of a file, or of the names and digests of a folder's data files in order."""
+    path = Path(path)
+    if path.is_dir():
+        files = sorted((p.name, digest(p)) for p in path.rglob("*") if p.is_file() and p.name[0] not in "._")
+        return hashlib.sha256("".join(f"{name}:{d}\n" for name, d in files).encode()).hexdigest()
+    total = hashlib.sha256()
+    with path.open("rb") as data:
+        while block := data.read(1 << 20):
+            total.update(block)
     return total.hexdigest()
 
 

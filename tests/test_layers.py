@@ -40,7 +40,10 @@ def test_like_has_wildcards_and_plain_backslashes(views):
     assert docs.filter(like("analytical_text", "C:\\")).count() == 1
 
 
-@pytest.mark.parametrize("text", ["DROP TABLE x", "SELECT 1; SELECT 2", "SELECT * FROM secrets", "SELECT * FROM parquet.`/etc`", "SELECT * FROM range(5)", "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "SELECT * FROM source_documents WHERE id IN (SELECT id FROM other)"])
+@pytest.mark.parametrize("text", ["DROP TABLE x", "SELECT 1; SELECT 2", "SELECT * FROM secrets", "SELECT * FROM parquet.`/etc`", "SELECT * FROM range(5)", "WITH a AS (SELECT 1) INSERT INTO t SELECT * FROM a", "SELECT * FROM source_documents WHERE id IN (SELECT id FROM other)",
+    "SELECT java_method('java.lang.System','getProperty','user.dir') FROM research_signals", "SELECT reflect('java.lang.System','getenv','HOME')", "SELECT 1 FROM source_documents WHERE reflect('a','b') = 'c'",
+    "SELECT * FROM (WITH inner_one AS (SELECT 1 AS a) SELECT a FROM inner_one) x JOIN inner_one ON true", "WITH a AS (SELECT * FROM b), b AS (SELECT 1 AS x) SELECT * FROM a", "SELECT (SELECT max(x) FROM secrets) FROM research_signals",
+    "SELECT input_file_name() FROM source_documents", "SELECT * FROM source_documents ORDER BY java_method('a', 'b')", "SELECT EXISTS (SELECT 1 FROM hidden)", "SELECT * FROM a.source_documents"])
 def test_unsafe_sql(spark, text):
     with pytest.raises(UnsafeQuery):
         check_sql(spark, text)
@@ -49,6 +52,9 @@ def test_unsafe_sql(spark, text):
 def test_custom_sql(views):
     sql = "WITH t AS (SELECT replace(subreddit, 's', 'x') AS load FROM source_documents) SELECT load, count(*) AS n FROM t GROUP BY load;"
     assert custom_sql(views, QuerySpec("custom_sql", sql=sql, limit=1)).count() == 1
+    for text in ("SELECT subreddit, count(*) AS n, row_number() OVER (PARTITION BY subreddit ORDER BY max(score) DESC) AS r FROM source_documents WHERE score > (SELECT avg(score) FROM source_documents) GROUP BY subreddit HAVING count(*) > 0 ORDER BY n DESC",
+        "WITH a AS (SELECT 1 AS x), b AS (SELECT x FROM a) SELECT CASE WHEN x = 1 THEN 'y' ELSE upper('n') END AS v FROM b UNION ALL SELECT subreddit FROM source_documents WHERE analytical_text LIKE '%refund%' AND score BETWEEN 1 AND 5"):
+        assert custom_sql(views, QuerySpec("custom_sql", sql=text)).count() >= 0
 
 
 def test_ask(views):
@@ -128,9 +134,15 @@ def test_store(spark, tmp_path):
     with pytest.raises(ValueError, match="changed"):
         db.cleanup("b1", marks)
     b.write_text("b")
+    folder = tmp_path / "folder"
+    spark.range(3).repartition(2).write.parquet(str(folder))
+    assert db.files.digest(str(folder)) == manifest.digest(folder)
+    states = {r["batch_id"]: r for r in db.lifecycle().collect()}
+    assert (states["b1"]["state"], states["b1"]["retained"], states["b1"]["manifest_id"]) == ("committed_validated", 1, "m") and states["b2"]["state"] == "commit_started" and states["b2"]["retained"] is None
+    assert not [p for p in (tmp_path / "db" / "documents").iterdir() if "b2" in p.name] and not list((tmp_path / "db" / "_staging").iterdir())
     assert db.cleanup("b1", marks)["removed"] == 2 and db.cleanup("b1", marks)["status"] == "skipped_existing"
     with pytest.raises(ValueError):
-        store.apply_migrations(tmp_path / "db", {"001_documents": {"documents": store.MIGRATIONS["003_embeddings"]["document_embeddings"]}})
+        store.apply_migrations(spark, tmp_path / "db", {"001_documents": {"documents": store.MIGRATIONS["003_embeddings"]["document_embeddings"]}})
 
 
 def test_evaluation(spark):
@@ -148,6 +160,45 @@ def test_evaluation(spark):
             ev.annotate(labels.select("source_id"), positives, kinds)
 
 
+def test_labels_that_do_not_fit_the_scores(spark):
+    """The cases that an evaluation has to refuse."""
+    domains = ["x", "y"]
+    ids = {"r1": "retain", "r2": "retain", "e1": "evaluate", "e2": "evaluate", "d1": "discard", "d2": "discard"}
+    scores = spark.createDataFrame([("c", i, d, 0.5, how if d == "x" else "discard") for i, how in ids.items() for d in domains], "source_type string, source_id string, domain string, relevance_score double, decision string")
+    columns = "source_type string, source_id string, sample_stratum string, stratum_population string, sample_rank string, sampling_seed string, label_x string, label_y string"
+    good = [["c", i, how, "2", "1", "s", "0", "1"] for i, how in ids.items()]
+
+    def faults(rows, scored=scores):
+        return {r["fault"]: r["n"] for r in ev.fixture_faults(spark.createDataFrame(rows, columns), scored, domains).filter("n > 0").collect()}
+
+    def changed(i, place, value):
+        return [[value if k == place else v for k, v in enumerate(r)] if r[1] == i else r for r in good]
+
+    assert faults(good) == {}
+    ev.require_fixture(spark.createDataFrame(good, columns), scores, domains)
+    with pytest.raises(ValueError, match="without the columns"):
+        ev.fixture_faults(spark.createDataFrame(good, columns).drop("stratum_population"), scores, domains)
+    assert faults(good[1:]) == {"retained_without_label": 1, "retained_difference": 1}
+    assert faults(changed("d1", 3, "9")) == {"other_population": 1} and faults(changed("d1", 3, "x")) == {"population_no_number": 1}
+    assert faults(changed("r1", 6, None)) == {"invalid_label_x": 1} and faults(changed("r1", 7, "2")) == {"invalid_label_y": 1}
+    assert faults(changed("e1", 2, "discard")) == {"other_stratum": 1}
+    assert faults([r for r in good if r[2] != "evaluate"]) == {"strata_without_label": 1}
+    assert faults([*good, ["c", "z", "discard", "2", "1", "s", "0", "0"]]) == {"unknown_ids": 1, "not_one_score": 2}
+    assert faults(good, scores.unionByName(scores.filter("source_id = 'e1' AND domain = 'y'"))) == {"not_one_score": 1}
+    assert faults([*good, good[5]]) == {"repeated_ids": 1}
+    with pytest.raises(ValueError, match="other_population"):
+        ev.require_fixture(spark.createDataFrame(changed("d1", 3, "9"), columns), scores, domains)
+
+
+def test_calibration_goes_through_all_stages(spark):
+    docs = spark.createDataFrame([("comment", "1", "a", "tinysaas", "I wish there was an app: looking for csv upload by hand, confusing price", "u"), ("comment", "2", "b", "tinysaas", "nothing but a plan and some more words to be long enough", "u")], "source_type string, source_id string, author string, subreddit string, text string, source_url string")
+    cands = scan(docs, FORUM_CANDIDATES)
+    out = ev.calibrate(cands, FORUM_RELEVANCE, {"app_opportunity": ["1"]}, {"other": ["2"]}, "s", ev.Gate(retained=1))
+    assert out["failures"] == [] and out["figures"]["precision"] == 1.0 and {d["domain"] for d in out["domains"]} == {d.name for d in FORUM_RELEVANCE.domains}
+    with pytest.raises(ValueError, match="unknown ids"):
+        ev.calibrate(cands, FORUM_RELEVANCE, {"travel": ["9"]}, {}, "s", ev.Gate())
+
+
 def test_learned(spark):
     rows = spark.createDataFrame([(f"{i:02}", "broken app" if i % 2 else "nice day", i % 2, 0.1, "evaluate") for i in range(24)], "id string, text string, label int, s double, decision string")
     spec = learned.Features(tuple(learned.vocabulary(rows, "text", 2, 10)), ("s",))
