@@ -61,21 +61,22 @@ class Model:
 
 
 def fit(x: np.ndarray, y: np.ndarray, epochs: int = 400, rate: float = 0.5, l2: float = 0.01, tolerance: float = 1e-7, patience: int = 25) -> Model:
-    """Full-batch gradient descent from zero; the penalty is on weights only. The same rows in the same order give the same
-    model. Stops early when the loss no longer falls."""
+    """Full-batch gradient descent from zero; the penalty is on weights only and no part of the loss. The same rows in the
+    same order give the same model. Ends, after the step of that round, when the loss no longer falls."""
     w, b, best, waited = np.zeros(x.shape[1]), 0.0, np.inf, 0
     for _ in range(epochs):
         p = 1 / (1 + np.exp(-(x @ w + b)))
-        loss = -np.mean(y * np.log(p + 1e-12) + (1 - y) * np.log(1 - p + 1e-12)) + l2 / 2 * w @ w
-        if loss < best - tolerance:
-            best, waited = loss, 0
-        else:
-            waited += 1
-            if waited >= patience:
-                break
         error = p - y
         w = w - rate * (x.T @ error / len(y) + l2 * w)
         b -= rate * float(error.mean())
+        sure = np.clip(p, 1e-12, 1 - 1e-12)
+        loss = -np.mean(y * np.log(sure) + (1 - y) * np.log(1 - sure))
+        if best - loss > tolerance:
+            best, waited = loss, 0
+            continue
+        waited += 1
+        if waited >= patience:
+            break
     return Model(w, b)
 
 
@@ -87,16 +88,25 @@ def matrix(rows: DataFrame, key: Sequence[str], most_rows: int = 100_000) -> tup
     return np.array([r["features"] for r in found], float), np.array([r["label"] for r in found], float)
 
 
-def choose_threshold(y: np.ndarray, p: np.ndarray, least_precision: float) -> dict[str, float] | None:
-    """The threshold of highest recall among those that reach the precision; of equal ones the highest. None if none does."""
+def choose_threshold(y: np.ndarray, p: np.ndarray, least_precision: float, undecided: np.ndarray | None = None, retained: np.ndarray | None = None) -> dict[str, float | bool]:
+    """The threshold from which ``undecided`` rows (all, if not given) are promoted beside those ``retained`` already: highest
+    recall among those that reach the precision, then highest precision, then the highest threshold, from nothing
+    (infinity) to all (minus infinity). Where none reaches it, ``selected`` is false and nothing is promoted."""
+    undecided = np.ones(len(y), bool) if undecided is None else undecided
+    retained = np.zeros(len(y), bool) if retained is None else retained
+    positives = max(1.0, float((y == 1).sum()))
     best = None
-    for t in sorted(set(p.tolist()), reverse=True):
-        chosen = p >= t
+    for t in [np.inf, *sorted(set(p[undecided].tolist())), -np.inf]:
+        chosen = retained | (undecided & (p >= t))
+        if not chosen.any():
+            continue
         hit = float((y[chosen] == 1).sum())
-        precision, recall = hit / chosen.sum(), hit / max(1.0, float((y == 1).sum()))
-        if precision >= least_precision and (best is None or recall > best["recall"]):
-            best = {"threshold": t, "precision": precision, "recall": recall}
-    return best
+        key = (hit / positives, hit / float(chosen.sum()), t)
+        if key[1] >= least_precision and (best is None or key > best):
+            best = key
+    if best is None:
+        return {"threshold": np.inf, "precision": 0.0, "recall": 0.0, "selected": False}
+    return {"threshold": best[2], "precision": best[1], "recall": best[0], "selected": True}
 
 
 def cross_validate(x: np.ndarray, y: np.ndarray, folds: int = 5, least_precision: float = 0.75) -> dict[str, float]:
@@ -107,8 +117,7 @@ def cross_validate(x: np.ndarray, y: np.ndarray, folds: int = 5, least_precision
         train, test = fold != k, fold == k
         model = fit(x[train], y[train])
         at = choose_threshold(y[train], model.predict(x[train]), least_precision)
-        if at:
-            kept[test] = model.predict(x[test]) >= at["threshold"]
+        kept[test] = model.predict(x[test]) >= at["threshold"]
     hit = float((y[kept] == 1).sum())
     return {"precision": hit / kept.sum() if kept.any() else 0.0, "recall": hit / max(1.0, float((y == 1).sum())), "kept": int(kept.sum())}
 

@@ -31,10 +31,13 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return {"status": "completed", "rows": rows, "path": path}
 
 
-def write_csv(df: DataFrame, path: str, null: str | None = None) -> int:
-    """One CSV file with a header in the folder ``path``; ``null`` is what stands for null. For results of bounded size."""
+def write_csv(df: DataFrame, path: str, null: str | None = None, most: int = 1_000_000) -> int:
+    """CSV with a header in the folder ``path``: one file for up to ``most`` rows, beyond that one per partition. ``null`` is
+    what stands for null."""
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+    small = df.limit(most + 1).count() <= most
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    writer = (writer.coalesce(1) if small else writer).write.mode("overwrite").option("header", True).option("escape", '"')
     if null is not None:
         writer = writer.option("nullValue", null).option("emptyValue", null)
     writer.csv(path)

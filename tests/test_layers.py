@@ -207,6 +207,13 @@ def test_learned(spark):
     model = learned.fit(x, y)
     assert np.array_equal(model.weights, learned.fit(x, y).weights) and learned.cross_validate(x, y)["recall"] == 1.0
     at = learned.choose_threshold(y, model.predict(x), 0.9)
+    # the step comes before the test: one epoch from zero moves the weights
+    assert np.allclose(learned.fit(x, y, epochs=1).weights, -0.5 * x.T @ (0.5 - y) / len(y))
+    chance, some = np.array([0.9, 0.8, 0.7, 0.6]), np.array([1.0, 0.0, 1.0, 0.0])
+    assert learned.choose_threshold(some, chance, 0.6)["threshold"] == 0.7 and learned.choose_threshold(some, chance, 0.6, np.array([True, False, False, False]))["recall"] == 0.5
+    assert learned.choose_threshold(some, chance, 0.9, np.array([False, True, False, True]))["threshold"] == np.inf
+    kept = learned.choose_threshold(some, chance, 0.9, np.array([False, True, False, True]), np.array([True, False, False, False]))
+    assert kept["selected"] and kept["threshold"] == np.inf and kept["recall"] == 0.5
     up = learned.promote(model.score(feats), at["threshold"])
     assert up.filter("promoted").count() == 12 and up.filter("promoted AND label = 0").count() == 0
     with pytest.raises(ValueError):
