@@ -223,4 +223,13 @@ WHERE place <= ceil(round(CAST({RATE} AS DOUBLE) * size, 9)) AND p.batch < (SELE
 )
 SELECT DISTINCT r.source_id, label_travel, label_saas_opportunity, label_app_opportunity, false_positive_category
 FROM {REVIEW} r JOIN placed p ON r.source_id = p.source_id WHERE place <= ceil(round(CAST({RATE} AS DOUBLE) * size, 9))""",
+    "p7_found": """WITH texts AS (SELECT source_id, min(analytical_text) AS text FROM source_documents WHERE source_id IS NOT NULL AND analytical_text IS NOT NULL GROUP BY 1),
+worded AS (SELECT source_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS words FROM texts),
+sequences AS (
+  SELECT DISTINCT source_id, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) AS seq
+  FROM worded WHERE len(words) >= 40
+),
+sizes AS (SELECT source_id, count(*) AS size FROM sequences GROUP BY 1),
+common AS (SELECT a.source_id AS x, b.source_id AS y, count(*) AS n FROM sequences a JOIN sequences b ON a.seq = b.seq AND a.source_id < b.source_id GROUP BY 1, 2)
+SELECT x AS source_id_a, y AS source_id_b FROM common JOIN sizes p ON x = p.source_id JOIN sizes q ON y = q.source_id WHERE n * 5 >= 3 * (p.size + q.size - n)""",
 }
